@@ -197,11 +197,17 @@ def trailing_stats(
     """Append ``op(measure)`` over ``[t - shift - w, t - shift]`` on a gap-free series."""
     need = sorted({k for op in ops for k in NEEDS[op]})
     base = df.columns
+    types = {m: df.schema[m].dataType.simpleString() for m in measures}
+
+    def expr(m: str, op: str, w: int) -> str:
+        e = stat_expr(op, cells[m, w], copies)
+        return f"cast({e} as {types[m]})" if op in ("MIN", "MAX") and types[m] != "double" else e
+
     df, cells = add_trailing_moments(df, keys, day, measures, windows, shift, need)
     return df.selectExpr(
         *[quoted(c) for c in base],
         *[
-            f"{stat_expr(op, cells[m, w], copies)} as {quoted(name(m, op, w))}"
+            f"{expr(m, op, w)} as {quoted(name(m, op, w))}"
             for op in ops
             for w in windows
             for m in measures

@@ -162,7 +162,7 @@ def lag_features(
 
 
 # -- last non-zero value -------------------------------------------------------
-def _until(keys: Sequence[str], day: str, shift: int):
+def until(keys: Sequence[str], day: str, shift: int):
     return (
         Window.partitionBy(*keys)
         .orderBy(F.unix_date(F.col(day)))
@@ -175,7 +175,7 @@ def _last_nonzero(df: DataFrame, keys, cfg: DemandConfig, shift: int, value: str
 
     The inner carry sees the full table, the outer one only the feature history.
     """
-    upto = _until(keys, cfg.day, shift)
+    upto = until(keys, cfg.day, shift)
     inner = F.last(F.when(active, F.struct(F.col(value).alias("x"))), ignorenulls=True).over(upto)
     df = df.withColumn("__inner", F.when(active, inner["x"]))
     df = history(df, cfg)
@@ -285,9 +285,13 @@ def add_segment_pair(df: DataFrame, cfg: DemandConfig, kind: str, shift: int) ->
     )
 
 
-def segment_item(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) -> DataFrame:
+def segment_names(cfg: DemandConfig, kind: str, level: int) -> list[str]:
+    return [f"{GROUP_NAMES[kind][level]}_{op}_{w}" for op in cfg.category_ops for w in cfg.windows]
+
+
+def add_segment_item(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) -> DataFrame:
     """Statistics of an item's rows at all locations within a segment, per (item, day)."""
-    out = ranged_stats(
+    return ranged_stats(
         series,
         [cfg.item, SEGMENT[kind]],
         cfg.day,
@@ -298,11 +302,9 @@ def segment_item(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) ->
         lambda m, op, w: f"{GROUP_NAMES[kind][1]}_{op}_{w}",
         "locations",
     )
-    names = [f"{GROUP_NAMES[kind][1]}_{op}_{w}" for op in cfg.category_ops for w in cfg.windows]
-    return out.select(cfg.item, cfg.day, *names)
 
 
-def name_series(panel: DataFrame, cfg: DemandConfig, variant: str, extra: Sequence[str] = ()) -> DataFrame:
+def name_series(panel: DataFrame, cfg: DemandConfig, variant: str = BASE, extra: Sequence[str] = ()) -> DataFrame:
     """Count, sum, M2, min and max of the items sharing a generic name, per (name, location, day)."""
     x = F.col(source_column("total_dose_by_yj_store", variant))
     return panel.groupBy("general_name", cfg.location, cfg.day, *extra).agg(
@@ -323,7 +325,7 @@ def _pooled(op: str, n: str, s: str, v: str, days: str, m2: str, lo: str, hi: st
     return lo if op == "MIN" else hi
 
 
-def name_stats(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) -> DataFrame:
+def add_name_stats(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) -> DataFrame:
     """Statistics over all items of a (generic name, location), per (name, location, day).
 
     On a dense panel every day of a group holds the same number of values, so
@@ -331,6 +333,7 @@ def name_stats(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) -> D
     """
     group = ["general_name", cfg.location]
     names = {(op, w): f"{GROUP_NAMES[kind][2]}_{op}_{w}" for op in cfg.category_ops for w in cfg.windows}
+    base = [quoted(c) for c in series.columns]
     if kind == "dow":
         df, cells = add_trailing_moments(
             series, group, cfg.day, ["__n", "__s", "__v", "__lo", "__hi"], cfg.windows, shift
@@ -342,7 +345,7 @@ def name_stats(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) -> D
                 _pooled(op, c["__n"].s, c["__s"].s, c["__v"].s, c["__s"].n, c["__s"].m2, c["__lo"].lo, c["__hi"].hi)
                 + f" as {quoted(out)}"
             )
-        return df.selectExpr(*group, cfg.day, *exprs)
+        return df.selectExpr(*base, *exprs)
     part = ", ".join(quoted(k) for k in [*group, SEGMENT[kind]])
     exprs = []
     for (op, w), out in names.items():
@@ -360,10 +363,10 @@ def name_stats(series: DataFrame, cfg: DemandConfig, kind: str, shift: int) -> D
             )
             + f" as {quoted(out)}"
         )
-    return series.selectExpr(*group, cfg.day, *exprs)
+    return series.selectExpr(*base, *exprs)
 
 
-def _with_calendar(df: DataFrame, calendar: DataFrame, cfg: DemandConfig, columns: Sequence[str]) -> DataFrame:
+def with_calendar(df: DataFrame, calendar: DataFrame, cfg: DemandConfig, columns: Sequence[str]) -> DataFrame:
     return df.join(calendar.select(F.col("jst_date").alias(cfg.day), *columns), cfg.day, "left")
 
 
@@ -374,8 +377,12 @@ def _segment_features(panel: DataFrame, cfg: DemandConfig, kind: str, mode: str,
         F.max(source_column("total_dose_by_yj", variant)).alias("total_dose_by_yj"),
         F.count(F.lit(1)).cast("double").alias("locations"),
     )
-    items = feature_days(segment_item(series, cfg, kind, shift), cfg)
-    names = feature_days(name_stats(name_series(panel, cfg, variant, [segment]), cfg, kind, shift), cfg)
+    items = feature_days(add_segment_item(series, cfg, kind, shift), cfg).select(
+        cfg.item, cfg.day, *segment_names(cfg, kind, 1)
+    )
+    names = feature_days(add_name_stats(name_series(panel, cfg, variant, [segment]), cfg, kind, shift), cfg).select(
+        "general_name", cfg.location, cfg.day, *segment_names(cfg, kind, 2)
+    )
     rows = _measures(panel, cfg, variant, ["total_dose_by_yj_store"], ["general_name", segment])
     out = feature_days(add_segment_pair(rows, cfg, kind, shift), cfg)
     out = out.join(items, [cfg.item, cfg.day], "left")
@@ -392,7 +399,7 @@ def holiday_features(
     panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, mode: str = "train", variant: str = BASE
 ) -> DataFrame:
     """The same three groupings within each day-type sequence."""
-    rows = _with_calendar(history(panel, cfg), calendar, cfg, ["day_type_sequence"])
+    rows = with_calendar(history(panel, cfg), calendar, cfg, ["day_type_sequence"])
     return _segment_features(rows, cfg, "dts", mode, variant)
 
 
@@ -415,7 +422,7 @@ def days_since_last(panel: DataFrame, cfg: DemandConfig, mode: str = "train") ->
     x = F.col("total_dose_by_yj_store")
     rows = panel.filter(F.col(cfg.day).between(F.lit(cfg.recency_start), F.lit(cfg.panel_end)) & (x >= 0))
     last_day = F.last(F.when(x > 0, F.col(cfg.day)), ignorenulls=True).over(
-        _until(cfg.pair, cfg.day, shift_of(mode, cfg))
+        until(cfg.pair, cfg.day, shift_of(mode, cfg))
     )
     return rows.select(*cfg.keys, recency_expr(cfg, last_day).alias(RECENCY))
 
