@@ -42,13 +42,16 @@ CODED = ("general_name", "kikaku", "tanni_suryo", "store_code", "yj_code", "day_
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Round doubles so that summation order cannot show; -0.0 becomes 0.0."""
+    """Round doubles so that summation order cannot show; -0.0 becomes 0.0.
+
+    A nudge far below the last digit moves exact ties to one side.
+    """
 
     def fix(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if not isinstance(f.dataType, T.DoubleType):
             return c
-        r = F.round(c, digits(f.name))
+        r = F.round(c + F.lit(3.0 * 10.0 ** -(digits(f.name) + 4)), digits(f.name))
         return F.when(r == 0, F.lit(0.0)).otherwise(r).alias(f.name)
 
     return df.select(*[fix(f) for f in df.schema.fields])
@@ -140,7 +143,7 @@ def _refresh_range(c: Context) -> DataFrame:
     gone = F.col(cfg.location) == "000000"
     fresh = rows.filter(~gone).withColumn("total_dose_by_yj_store", F.col("total_dose_by_yj_store") * 2)
     refresh_range(fresh, path, cfg.day, cfg.test_start, cfg.dataset_end, cfg.keys, [cfg.location])
-    return read_table(c.spark, path, rows.schema)
+    return read_table(c.spark, path, rows.schema).select(*rows.columns)
 
 
 def _merge_predictions(c: Context) -> DataFrame:

@@ -97,8 +97,10 @@ class TestData:
 
     @cached_property
     def drug_coarse(self) -> DataFrame:
-        kinds = self.table("part").groupBy(_type_item().alias("kind")).agg(F.min("p_size").alias("size"))
-        return kinds.select(*_attributes(F.col("kind"), F.length(F.rtrim("kind")), F.col("size")))
+        kinds = self.table("part").groupBy(_type_item().alias("kind")).agg(
+            F.min("p_size").alias("size"), F.min(F.length("p_type")).alias("n")
+        )
+        return kinds.select(*_attributes(F.col("kind"), F.col("n"), F.col("size")))
 
     @cached_property
     def units(self) -> DataFrame:
