@@ -2,16 +2,16 @@
 
 A moving frame in Spark is re-evaluated from scratch for every row, so five
 windows of up to a year cost hundreds of updates per row and measure.  On a
-gap-free daily series the same statistics are composed from short *tiles*:
+gap-free daily series the same statistics are composed from *tiles*:
 
-1. one moving frame of ``T`` rows gives count, sum, M2, min and max per tile;
-2. ``lag`` fetches the non-overlapping tiles (and one remainder tile) that
-   cover each window;
-3. the parts are merged with the exact pooled-variance formula.
+1. ``lag`` fetches the last few values, which merge into a short tile (count,
+   sum, M2, min and max); a few lagged short tiles merge into a long tile;
+2. ``lag`` fetches the non-overlapping tiles that cover each window;
+3. all merges use the exact pooled-variance formula.
 
 Only additions of like-signed terms occur (no prefix-sum differences), so zero
 stays zero and a constant stretch has a standard deviation of exactly zero.
-Both steps share one partitioning and one sort.
+All steps share one partitioning and one sort, and no moving aggregate runs.
 """
 
 from __future__ import annotations
@@ -39,15 +39,31 @@ def range_frame(low: int, high: int) -> str:
     return f"range between {low} preceding and {upper}"
 
 
-def choose_tile(lengths: Sequence[int]) -> int:
-    """Tile length with the fewest frame updates plus fetched tiles."""
+def cover(length: int, sizes: Sequence[int]) -> list[tuple[int, int]]:
+    """Non-overlapping ``(tile size, offset)`` parts of a window, longest tiles first."""
+    parts, at = [], 0
+    for size in sorted(sizes, reverse=True):
+        while length - at >= size:
+            parts.append((size, at))
+            at += size
+    return parts
 
-    def cost(t: int) -> int:
-        rest = {n % t for n in lengths} - {0}
-        fetched = {(t, k) for n in lengths for k in range(n // t)} | {(n % t, n // t) for n in lengths}
-        return t + sum(rest) + 6 * len(fetched)
 
-    return min({max(1, n - 1) for n in lengths} | set(lengths), key=lambda t: (cost(t), t))
+def choose_tiles(lengths: Sequence[int]) -> tuple[int, ...]:
+    """Tile sizes ``(1, short, long)`` needing the fewest fetches; ``short`` divides ``long``."""
+    options = [(1,)]
+    for long in {n - 1 for n in lengths} | set(lengths):
+        for short in range(2, long // 2 + 1):
+            if long % short == 0:
+                options.append((1, short, long))
+
+    def cost(sizes: tuple[int, ...]) -> int:
+        fetched = {part for n in lengths for part in cover(n, sizes)}
+        merged = sum(len(cover(n, sizes)) for n in lengths)
+        build = sizes[1] + sizes[2] // sizes[1] if len(sizes) > 1 else 0
+        return len(fetched) + build + merged // 2
+
+    return min(options, key=lambda o: (cost(o), o))
 
 
 @dataclass(frozen=True)
@@ -78,92 +94,81 @@ def add_trailing_moments(
     """
     need = [x for x in STATS if x in set(need) | ({"n", "s"} if "v" in need else set())]
     width = len(need)
-    lengths = {w: w + 1 for w in windows}
-    tile = choose_tile(list(lengths.values()))
-    parts: dict[int, list[tuple[int, int]]] = {}
-    for w, n in lengths.items():
-        parts[w] = [(tile, k * tile) for k in range(n // tile)]
-        if n % tile:
-            parts[w].append((n % tile, n // tile * tile))
-    sizes = sorted({size for ps in parts.values() for size, _ in ps})
-    fetches = sorted({p for ps in parts.values() for p in ps})
-
-    def stat(x: str, kind: str, size: int) -> str:
-        c = quoted(x)
-        if size == 1:
-            return {
-                "n": f"if({c} is null, 0D, 1D)",
-                "s": f"cast({c} as double)",
-                "v": "0D",
-                "lo": f"cast({c} as double)",
-                "hi": f"cast({c} as double)",
-            }[kind]
-        frame = over(keys, day, f"rows between {size - 1} preceding and current row")
-        return {
-            "n": f"cast(count({c}) {frame} as double)",
-            "s": f"cast(sum({c}) {frame} as double)",
-            "v": f"var_pop({c}) {frame} * count({c}) {frame}",
-            "lo": f"cast(min({c}) {frame} as double)",
-            "hi": f"cast(max({c}) {frame} as double)",
-        }[kind]
-
-    base = [quoted(c) for c in df.columns]
-    tiles = [
-        f"array({', '.join(stat(m, k, size) for m in measures for k in need)}) as __tile{size}"
-        for size in sizes
-    ]
-    df = df.selectExpr(*base, *tiles)
+    measures = list(measures)
     spec = over(keys, day)
-    lagged = [
-        (f"lag(__tile{size}, {off + shift}) {spec}" if off + shift else f"__tile{size}") + f" as __at{size}_{off}"
-        for size, off in fetches
-    ]
-    df = df.selectExpr(*base, *lagged)
-
-    def pick(m: str, kind: str, p: tuple[int, int]) -> str:
-        i = measures.index(m) * width + need.index(kind)
-        return f"__at{p[0]}_{p[1]}[{i}]"
+    sizes = choose_tiles([w + 1 for w in windows])
+    parts = {w: cover(w + 1, sizes) for w in windows}
 
-    def total(m: str, kind: str, w: int) -> str:
-        return " + ".join(f"coalesce({pick(m, kind, p)}, 0D)" for p in parts[w])
-
-    def extreme(fn: str, m: str, kind: str, w: int) -> str:
-        args = [pick(m, kind, p) for p in parts[w]]
-        return f"{fn}({', '.join(args)})" if len(args) > 1 else args[0]
-
-    def names(m: str, w: int) -> Trailing:
+    def names(m: str, w: object) -> Trailing:
         return Trailing(*(f"__{k}_{measures.index(m)}_{w}" for k in ("n", "s", "mean", "m2", "lo", "hi")))
 
-    cells = [(m, w) for m in measures for w in windows]
-    first, second = [], []
-    for m, w in cells:
-        t = names(m, w)
+    def cell(m: str, kind: str, part: tuple[int, str]) -> str:
+        size, at = part
+        i = measures.index(m)
+        if size > 1:
+            return f"{at}[{i * width + need.index(kind)}]"
+        return f"{at}[{i}]"
+
+    def count(m: str, part: tuple[int, str]) -> str:
+        return f"if({cell(m, 'n', part)} is null, 0D, 1D)" if part[0] == 1 else f"coalesce({cell(m, 'n', part)}, 0D)"
+
+    def spread(m: str, part: tuple[int, str], mean: str) -> str:
+        if part[0] == 1:
+            gap = f"({cell(m, 's', part)} - {mean})"
+            return f"coalesce({gap} * {gap}, 0D)"
+        gap = f"({cell(m, 's', part)} - {cell(m, 'n', part)} * {mean})"
+        return f"coalesce({cell(m, 'v', part)} + {gap} * {gap} / nullif({cell(m, 'n', part)}, 0D), 0D)"
+
+    def extreme(fn: str, values: list[str]) -> str:
+        return f"{fn}({', '.join(values)})" if len(values) > 1 else values[0]
+
+    def merge(df: DataFrame, base: list[str], groups: dict[object, list[tuple[int, str]]]) -> DataFrame:
+        """Append the merged moments of every measure and group; fetched tiles are dropped."""
+        cells = [(m, g, names(m, g)) for m in measures for g in groups]
+        fetched = sorted({at for ps in groups.values() for _, at in ps})
+        first = []
+        for m, g, t in cells:
+            ps = groups[g]
+            if "n" in need:
+                first.append(" + ".join(count(m, p) for p in ps) + f" as {t.n}")
+                first.append(" + ".join(f"coalesce({cell(m, 's', p)}, 0D)" for p in ps) + f" as {t.s}")
+            if "lo" in need:
+                first.append(extreme("least", [cell(m, "lo", p) for p in ps]) + f" as {t.lo}")
+            if "hi" in need:
+                first.append(extreme("greatest", [cell(m, "hi", p) for p in ps]) + f" as {t.hi}")
+        made = [c.rsplit(" as ", 1)[1] for c in first]
+        df = df.selectExpr(*base, *fetched, *first)
         if "n" in need:
-            first.append(f"{total(m, 'n', w)} as {t.n}")
-        if "s" in need:
-            first.append(f"{total(m, 's', w)} as {t.s}")
-        if "lo" in need:
-            first.append(f"{extreme('least', m, 'lo', w)} as {t.lo}")
-        if "hi" in need:
-            first.append(f"{extreme('greatest', m, 'hi', w)} as {t.hi}")
-    fetched = [f"__at{size}_{off}" for size, off in fetches]
-    keep_fetched = fetched if "v" in need else []
-    df = df.selectExpr(*base, *keep_fetched, *first)
-    out = {(m, w): names(m, w) for m, w in cells}
-    if "n" in need:
-        df = df.selectExpr("*", *[f"if({t.n} > 0, {t.s} / {t.n}, null) as {t.mean}" for t in out.values()])
-    if "v" in need:
-        for m, w in cells:
-            t = out[m, w]
-            within = total(m, "v", w)
-            between = " + ".join(
-                f"coalesce(power({pick(m, 's', p)} - {pick(m, 'n', p)} * {t.mean}, 2) / nullif({pick(m, 'n', p)}, 0D), 0D)"
-                for p in parts[w]
-            )
-            second.append(f"if({t.n} > 0, {within} + {between}, null) as {t.m2}")
-        kept = [c for c in df.columns if c not in set(fetched)]
-        df = df.selectExpr(*[quoted(c) for c in kept], *second)
-    return df, out
+            means = [f"if({t.n} > 0, {t.s} / {t.n}, null) as {t.mean}" for _, _, t in cells]
+            df = df.selectExpr(*base, *fetched, *made, *means)
+            made += [t.mean for _, _, t in cells]
+        if "v" in need:
+            m2 = [f"{' + '.join(spread(m, p, t.mean) for p in groups[g])} as {t.m2}" for m, g, t in cells]
+            df = df.selectExpr(*base, *made, *m2)
+        return df.drop(*fetched)
+
+    def fetch(df: DataFrame, base: list[str], wanted: dict[tuple[int, int], str]) -> DataFrame:
+        lags = [
+            (f"lag(__tile{size}, {off}) {spec}" if off else f"__tile{size}") + f" as {at}"
+            for (size, off), at in wanted.items()
+        ]
+        return df.selectExpr(*base, *lags)
+
+    base = [quoted(c) for c in df.columns]
+    df = df.selectExpr(*base, f"array({', '.join(f'cast({quoted(m)} as double)' for m in measures)}) as __tile1")
+    tiles = ["__tile1"]
+    for small, large in zip(sizes, sizes[1:]):
+        wanted = {(small, k * small): f"__at{k}" for k in range(large // small)}
+        df = fetch(df, [*base, *tiles], wanted)
+        df = merge(df, [*base, *tiles], {"tile": [(small, at) for at in wanted.values()]})
+        field = {"n": "n", "s": "s", "v": "m2", "lo": "lo", "hi": "hi"}
+        packed = [getattr(names(m, "tile"), field[k]) for m in measures for k in need]
+        df = df.selectExpr(*base, *tiles, f"array({', '.join(packed)}) as __tile{large}")
+        tiles.append(f"__tile{large}")
+    at = {p: f"__at{p[0]}_{p[1]}" for p in sorted({p for ps in parts.values() for p in ps})}
+    df = fetch(df, base, {(size, off + shift): a for (size, off), a in at.items()})
+    df = merge(df, base, {w: [(p[0], at[p]) for p in ps] for w, ps in parts.items()})
+    return df, {(m, w): names(m, w) for m in measures for w in windows}
 
 
 def stat_expr(op: str, t: Trailing, copies: str = "1") -> str:

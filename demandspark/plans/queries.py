@@ -25,6 +25,7 @@ from demandspark.operators import publish as B
 from demandspark.operators import subject as S
 from demandspark.operators.calendar import calendar_dim
 from demandspark.operators.quality import key_violations
+from demandspark.session import tune
 from demandspark.sources import schemas
 from demandspark.sources.files import debug_sample, fact_scan, read_csv, snapshot_copy, write_csv
 from demandspark.sources.tables import read_table, refresh_range
@@ -118,6 +119,7 @@ _contexts: dict[tuple[str, str, DemandConfig], Context] = {}
 
 def context(spark: SparkSession, sf_dir: str, cfg: DemandConfig = CHECK) -> Context:
     key = (spark.sparkContext.applicationId, sf_dir, cfg)
+    tune(spark)
     if key not in _contexts:
         _contexts[key] = Context(spark, sf_dir, cfg)
     return _contexts[key]

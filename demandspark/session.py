@@ -10,6 +10,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # window stages are CPU-bound: let small shuffles keep all cores busy
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # wide feature projections run faster as split projections than inside one
+    # whole-stage method, which would be too large for the JIT
+    "spark.sql.codegen.maxFields": "40",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
