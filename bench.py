@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from demandspark.config import DemandConfig  # noqa: E402
-from demandspark.plans.queries import END, run  # noqa: E402
+from demandspark.plans.queries import END, operator  # noqa: E402
 from demandspark.session import session  # noqa: E402
 
 HEADLINE = (
@@ -41,7 +41,7 @@ def main() -> None:
 
     def once(name: str) -> float:
         start = time.time()
-        run(name, spark, sf_dir, cfg).write.format("noop").mode("overwrite").save()
+        operator(name, spark, sf_dir, cfg).write.format("noop").mode("overwrite").save()
         return time.time() - start
 
     seconds = {}

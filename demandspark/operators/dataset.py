@@ -109,8 +109,13 @@ def feature_columns(cfg: DemandConfig) -> list[str]:
     return [*X.target_columns(cfg), *X.segment_columns(cfg, "dow"), *X.segment_columns(cfg, "dts")]
 
 
-def _item_frame(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, variant: str, shift: int) -> DataFrame:
+def _item_columns(cfg: DemandConfig) -> list[str]:
+    return [*X.item_target_columns(cfg), *X.segment_names(cfg, "dow", 1), *X.segment_names(cfg, "dts", 1)]
+
+
+def _item_frame(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, variant: str) -> DataFrame:
     """All item-level train features per (item, day) on one partitioning by item."""
+    shift = cfg.horizon
     series = X.with_calendar(X.item_series(panel, cfg, variant), calendar, cfg, ["day_type_sequence"])
     series = series.withColumn("dayofweek", F.dayofweek(cfg.day).cast("long"))
     # cuts to the feature history between its two windows
@@ -119,38 +124,42 @@ def _item_frame(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, varian
     )
     for kind in ("dow", "dts"):
         series = X.add_segment_item(series, cfg, kind, shift)
-    names = [*X.segment_names(cfg, "dow", 1), *X.segment_names(cfg, "dts", 1)]
-    return series.select(cfg.item, cfg.day, X.LAST_NONZERO[1], *names)
+    series = X.feature_days(X.add_item_targets(series, cfg, "train"), cfg)
+    return X.packed(series, [cfg.item, cfg.day], _item_columns(cfg), "__item")
+
+
+def _name_columns(cfg: DemandConfig) -> list[str]:
+    return [*X.segment_names(cfg, "dow", 2), *X.segment_names(cfg, "dts", 2)]
 
 
-def _name_frame(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, variant: str, shift: int) -> DataFrame:
+def _name_frame(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, variant: str) -> DataFrame:
     """All name-level train features per (generic name, location, day)."""
     series = X.with_calendar(
         X.name_series(X.history(panel, cfg), cfg, variant), calendar, cfg, ["day_type_sequence"]
     )
-    for kind in ("dow", "dts"):
-        series = X.add_name_stats(series, cfg, kind, shift)
-    names = [*X.segment_names(cfg, "dow", 2), *X.segment_names(cfg, "dts", 2)]
-    return X.feature_days(series, cfg).select("general_name", cfg.location, cfg.day, *names)
+    for kind in ("dts", "dow"):
+        series = X.add_name_stats(series, cfg, kind, cfg.horizon)
+    series = X.feature_days(series, cfg)
+    return X.packed(series, ["general_name", cfg.location, cfg.day], _name_columns(cfg), "__name")
 
 
 def _fused_train_features(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, label: str) -> DataFrame:
     """Panel rows of the dataset days with label, recency and every feature column."""
     spec, shift = LABELS[label], cfg.horizon
     carried = [c for c in panel.columns if c not in set(cfg.keys)]
-    variant = {m: X.source_column(m, spec.variant) for m in MEASURES}
-    # the panel's own columns ride along packed, so the windows move one binary column
+    # the panel's own columns ride along packed, so the windows move one value
     rows = panel.select(
         *cfg.keys,
         "general_name",
         "dayofweek",
         F.struct(*carried).alias("__panel"),
-        *[F.col(variant[m]).alias(m) for m in MEASURES],
+        *[F.col(X.source_column(m, spec.variant)).alias(m) for m in PAIR_MEASURES],
         F.col("total_dose_by_yj_store").alias("__dose"),
     )
     rows = X.with_calendar(rows, calendar, cfg, ["day_type_sequence", "is_holiday", "day_type"])
-    rows = rows.join(_item_frame(panel, calendar, cfg, spec.variant, shift), [cfg.item, cfg.day], "left")
-    rows = null_safe(rows, _name_frame(panel, calendar, cfg, spec.variant, shift), ["general_name", cfg.location, cfg.day])
+    rows = rows.join(_item_frame(panel, calendar, cfg, spec.variant), [cfg.item, cfg.day], "left")
+    rows = null_safe(rows, _name_frame(panel, calendar, cfg, spec.variant), ["general_name", cfg.location, cfg.day])
+    rows = rows.drop("general_name")
 
     in_recency = (F.col("__dose") >= 0) & (F.col(cfg.day) >= F.lit(cfg.recency_start))
     visited = F.when((F.col("__dose") > 0) & in_recency, F.col(cfg.day))
@@ -158,13 +167,18 @@ def _fused_train_features(panel: DataFrame, calendar: DataFrame, cfg: DemandConf
     for kind in ("dow", "dts"):
         rows = X.add_segment_pair(rows, cfg, kind, shift)
     rows = rows.withColumn(X.RECENCY, F.when(in_recency, X.recency_expr(cfg, last_day)))
-    rows = X.add_target_features(rows, cfg, "train", trim=False)
+    rows = dataset_days(X.add_pair_targets(rows, cfg, "train", trim=False), cfg)
     inside = f"{quoted(cfg.day)} >= date'{cfg.feature_start}'"
-    packed = [f"__panel.{quoted(c)} as {quoted(c)}" for c in carried]
-    return dataset_days(rows, cfg).selectExpr(
+    source = {c: f"__item.{quoted(c)}" for c in _item_columns(cfg)} | {
+        c: f"__name.{quoted(c)}" for c in _name_columns(cfg)
+    }
+    return rows.selectExpr(
         *cfg.keys,
-        *packed,
-        *[f"if({inside}, {quoted(c)}, null) as {quoted(c)}" for c in feature_columns(cfg)],
+        *[f"__panel.{quoted(c)} as {quoted(c)}" for c in carried],
+        *[
+            (source[c] if c in source else f"if({inside}, {quoted(c)}, null)") + f" as {quoted(c)}"
+            for c in feature_columns(cfg)
+        ],
         X.RECENCY,
         "is_holiday",
         "day_type",
@@ -260,7 +274,8 @@ def features_asof(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, vari
     out = base.join(pair, cfg.pair, "left").join(item, cfg.item, "left")
     out = null_safe(out, name, ["general_name", cfg.location])
     out = out.withColumn(X.RECENCY, F.when(F.col("__dose") >= 0, X.recency_expr(cfg, F.col("__last_day"))))
-    return out.selectExpr("*", *X.lag_minus_avg_exprs(cfg)).select(*cfg.keys, *feature_columns(cfg), X.RECENCY)
+    exprs = [*X.lag_minus_avg_exprs(cfg, "by_yj_store"), *X.lag_minus_avg_exprs(cfg, "by_yj")]
+    return out.selectExpr("*", *exprs).select(*cfg.keys, *feature_columns(cfg), X.RECENCY)
 
 
 def predict_dataset(

@@ -95,11 +95,17 @@ def add_stats(
     return fn(df, cfg.pair, cfg.day, list(measures), cfg.windows, cfg.ops, shift, stat_name)
 
 
-def item_stats(series: DataFrame, cfg: DemandConfig, dense: bool = True) -> DataFrame:
-    """Predict-mode item statistics over location-replicated values, per (item, day)."""
+def item_stats(series: DataFrame, cfg: DemandConfig, mode: str, dense: bool = True) -> DataFrame:
+    """Item statistics per (item, day) on the item's own daily series.
+
+    Every location repeats the item's values, so one series per item serves all
+    locations.  In predict mode the reference window holds the replicated rows:
+    ``locations`` copies of each value.
+    """
     fn = trailing_stats if dense else ranged_stats
+    copies = "1" if mode == "train" else "locations"
     return fn(
-        series, [cfg.item], cfg.day, list(ITEM_MEASURES), cfg.windows, cfg.ops, 0, stat_name, "locations"
+        series, [cfg.item], cfg.day, list(ITEM_MEASURES), cfg.windows, cfg.ops, shift_of(mode, cfg), stat_name, copies
     )
 
 
@@ -108,48 +114,55 @@ def stats_features(
 ) -> DataFrame:
     """Trailing AVG / STDDEV / MIN / MAX of the six measures over every window.
 
-    In train mode all measures use the pair's own series.  In predict mode the
-    item measures range over the item's rows at all locations, which changes
-    only their sample standard deviation.
+    Item measures are the same at all locations of a panel whose pairs share one
+    span, so they are computed once per item and joined.  In predict mode their
+    sample standard deviation ranges over the rows of all locations.
     """
-    shift = shift_of(mode, cfg)
     rows = history(panel, cfg)
-    if mode == "train":
-        out = add_stats(_measures(rows, cfg, variant, MEASURES), cfg, MEASURES, shift, dense)
-    else:
-        out = add_stats(_measures(rows, cfg, variant, PAIR_MEASURES), cfg, PAIR_MEASURES, shift, dense)
-        items = item_stats(item_series(rows, cfg, variant), cfg, dense)
-        out = out.join(
-            feature_days(items, cfg).drop(*ITEM_MEASURES, "locations", "active"), [cfg.item, cfg.day], "left"
-        )
-    return feature_days(out, cfg).select(*cfg.keys, *stat_columns(cfg))
+    pair = add_stats(_measures(rows, cfg, variant, PAIR_MEASURES), cfg, PAIR_MEASURES, shift_of(mode, cfg), dense)
+    names = [stat_name(m, op, w) for op in cfg.ops for w in cfg.windows for m in ITEM_MEASURES]
+    items = feature_days(item_stats(item_series(rows, cfg, variant), cfg, mode, dense), cfg)
+    items = items.select(cfg.item, cfg.day, *names)
+    return (
+        feature_days(pair, cfg)
+        .join(items, [cfg.item, cfg.day], "left")
+        .select(*cfg.keys, *stat_columns(cfg))
+    )
 
 
 # -- lags ---------------------------------------------------------------------
-def add_lags(df: DataFrame, cfg: DemandConfig, shift: int, dense: bool = True) -> DataFrame:
+def add_lags(
+    df: DataFrame,
+    cfg: DemandConfig,
+    shift: int,
+    dense: bool = True,
+    keys: Sequence[str] | None = None,
+    measures: Sequence[str] = MEASURES,
+) -> DataFrame:
     """As-of lags: the value exactly ``n + shift`` days back on a gap-free series,
     otherwise the last row at least that old; NULL values are values."""
     base = [quoted(c) for c in df.columns]
+    keys = keys or cfg.pair
     if not dense:
-        part = ", ".join(quoted(k) for k in cfg.pair)
+        part = ", ".join(quoted(k) for k in keys)
         cols = [
             f"last({quoted(m)}) over (partition by {part} order by unix_date({quoted(cfg.day)}) "
             f"range between unbounded preceding and {n + shift} preceding) as {quoted(f'lag{n}_{m}')}"
             for n in cfg.lags
-            for m in MEASURES
+            for m in measures
         ]
         return df.selectExpr(*base, *cols)
-    packed = f"array({', '.join(f'cast({quoted(m)} as double)' for m in MEASURES)})"
-    spec = over(cfg.pair, cfg.day)
+    packed = f"array({', '.join(f'cast({quoted(m)} as double)' for m in measures)})"
+    spec = over(keys, cfg.day)
     df = df.selectExpr(*base, f"{packed} as __row")
     df = df.selectExpr(*base, *[f"lag(__row, {n + shift}) {spec} as __lag{n}" for n in cfg.lags])
-    counts = {m for m in MEASURES if m.startswith("nunique")}
+    counts = {m for m in measures if m.startswith("nunique")}
     return df.selectExpr(
         *base,
         *[
             (f"cast(__lag{n}[{i}] as bigint)" if m in counts else f"__lag{n}[{i}]") + f" as {quoted(f'lag{n}_{m}')}"
             for n in cfg.lags
-            for i, m in enumerate(MEASURES)
+            for i, m in enumerate(measures)
         ],
     )
 
@@ -206,53 +219,84 @@ def last_nonzero(panel: DataFrame, cfg: DemandConfig, mode: str = "train", varia
 
 
 # -- lag minus average ----------------------------------------------------------
-def lag_minus_avg_exprs(cfg: DemandConfig) -> list[str]:
+def lag_minus_avg_exprs(cfg: DemandConfig, scope: str) -> list[str]:
+    """Differences of one scope, "by_yj_store" or "by_yj"; the pair also has the last non-zero one."""
     out = []
     for w in cfg.windows:
-        for scope in ("by_yj_store", "by_yj"):
-            avg = f"total_dose_{scope}_AVG_{w}"
-            out += [f"lag{n}_total_dose_{scope} - {avg} as lag{n}_minus_avg{w}_{scope}" for n in cfg.lags]
-        out.append(
-            f"{LAST_NONZERO[0]} - total_dose_by_yj_store_AVG_{w} as lag_non_zero_minus_avg{w}_by_yj_store"
-        )
+        avg = f"total_dose_{scope}_AVG_{w}"
+        out += [f"lag{n}_total_dose_{scope} - {avg} as lag{n}_minus_avg{w}_{scope}" for n in cfg.lags]
+        if scope == "by_yj_store":
+            out.append(f"{LAST_NONZERO[0]} - {avg} as lag_non_zero_minus_avg{w}_{scope}")
     return out
 
 
 def lag_minus_avg_columns(cfg: DemandConfig) -> list[str]:
-    return [e.rsplit(" as ", 1)[1] for e in lag_minus_avg_exprs(cfg)]
+    exprs = [*lag_minus_avg_exprs(cfg, "by_yj_store"), *lag_minus_avg_exprs(cfg, "by_yj")]
+    return [e.rsplit(" as ", 1)[1] for e in exprs]
 
 
 def target_columns(cfg: DemandConfig) -> list[str]:
     return [*stat_columns(cfg), *lag_columns(cfg), *LAST_NONZERO, *lag_minus_avg_columns(cfg)]
 
 
-def add_target_features(df: DataFrame, cfg: DemandConfig, mode: str, trim: bool = True) -> DataFrame:
-    """Statistics, lags, last non-zero and differences on a frame that already
-    carries the six measures and the item-level last non-zero value.
+def item_target_columns(cfg: DemandConfig) -> list[str]:
+    """The target features that depend on (item, day) only."""
+    return [
+        *[stat_name(m, op, w) for op in cfg.ops for w in cfg.windows for m in ITEM_MEASURES],
+        *[f"lag{n}_{m}" for n in cfg.lags for m in ITEM_MEASURES],
+        LAST_NONZERO[1],
+        *[e.rsplit(" as ", 1)[1] for e in lag_minus_avg_exprs(cfg, "by_yj")],
+    ]
+
+
+def add_item_targets(series: DataFrame, cfg: DemandConfig, mode: str) -> DataFrame:
+    """Item-level statistics, lags and differences on the item series."""
+    series = add_lags(series, cfg, shift_of(mode, cfg), keys=[cfg.item], measures=ITEM_MEASURES)
+    series = item_stats(series, cfg, mode)
+    return series.selectExpr("*", *lag_minus_avg_exprs(cfg, "by_yj"))
+
+
+def add_pair_targets(df: DataFrame, cfg: DemandConfig, mode: str, trim: bool = True) -> DataFrame:
+    """Pair-level statistics, lags, last non-zero and differences.
 
     All windows share the (item, location) partitioning and the day order.  The
     feature days are cut out between the windows and the wide projections.
     """
     shift = shift_of(mode, cfg)
-    measures = MEASURES if mode == "train" else PAIR_MEASURES
     df = add_last_nonzero_pair(df, cfg, shift)
-    df = add_lags(df, cfg, shift)
-    df = add_stats(df, cfg, measures, shift)
+    df = add_lags(df, cfg, shift, measures=PAIR_MEASURES)
+    df = add_stats(df, cfg, PAIR_MEASURES, shift)
     if trim:
         df = feature_days(df, cfg)
-    return df.selectExpr("*", *lag_minus_avg_exprs(cfg))
+    return df.selectExpr("*", *lag_minus_avg_exprs(cfg, "by_yj_store"))
+
+
+def packed(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
+    """Keys plus all ``columns`` as one struct: joins and sorts move a single value."""
+    return df.select(*keys, F.struct(*columns).alias(name))
 
 
 def target_features(panel: DataFrame, cfg: DemandConfig, mode: str = "train", variant: str = BASE) -> DataFrame:
-    """The complete target-feature table, one row per key and feature day."""
+    """The complete target-feature table, one row per key and feature day.
+
+    Item-level columns are computed once per item and joined, packed, to the
+    narrow panel before the pair windows.
+    """
     shift = shift_of(mode, cfg)
-    series = item_series(panel, cfg, variant)
-    item = item_last_nonzero(series, cfg, shift)
-    if mode == "predict":
-        stats = item_stats(history(series, cfg), cfg).drop(*ITEM_MEASURES, "locations", "active")
-        item = item.join(stats, [cfg.item, cfg.day])
-    rows = _measures(panel, cfg, variant, MEASURES).join(item, [cfg.item, cfg.day], "left")
-    return add_target_features(rows, cfg, mode).select(*cfg.keys, *target_columns(cfg))
+    item_columns = item_target_columns(cfg)
+    series = _last_nonzero(
+        item_series(panel, cfg, variant), [cfg.item], cfg, shift, "total_dose_by_yj", F.col("active"), LAST_NONZERO[1]
+    )
+    items = packed(
+        feature_days(add_item_targets(series, cfg, mode), cfg), [cfg.item, cfg.day], item_columns, "__item"
+    )
+    rows = _measures(panel, cfg, variant, PAIR_MEASURES).join(items, [cfg.item, cfg.day], "left")
+    out = add_pair_targets(rows, cfg, mode)
+    own = set(item_columns)
+    return out.selectExpr(
+        *[quoted(k) for k in cfg.keys],
+        *[f"__item.{quoted(c)} as {quoted(c)}" if c in own else quoted(c) for c in target_columns(cfg)],
+    )
 
 
 def lag_minus_avg(panel: DataFrame, cfg: DemandConfig, mode: str = "train", variant: str = BASE) -> DataFrame:

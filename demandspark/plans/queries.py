@@ -364,7 +364,12 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
 }
 
 
-def run(name: str, spark: SparkSession, sf_dir: str, cfg: DemandConfig | None = None) -> DataFrame:
-    """One registered query; ``cfg`` replaces its parameters (the benchmark does)."""
+def operator(name: str, spark: SparkSession, sf_dir: str, cfg: DemandConfig | None = None) -> DataFrame:
+    """The unrounded result of one query; ``cfg`` replaces its parameters (the benchmark does)."""
     fn, default = REGISTRY[name]
-    return rounded(fn(context(spark, sf_dir, cfg or default)))
+    return fn(context(spark, sf_dir, cfg or default))
+
+
+def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One registered query, rounded for comparison with its SQL."""
+    return rounded(operator(name, spark, sf_dir))

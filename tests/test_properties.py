@@ -89,10 +89,12 @@ def test_general_frames_equal_dense_lags(ctx):
     assert not differing(fast, slow, cfg.keys, X.lag_columns(cfg))
 
 
-def test_plan_of_the_features_uses_one_exchange_per_side(ctx):
+def test_pair_features_shuffle_the_panel_once(ctx):
     """Pair features: one shuffle of the narrow panel, no Python, filters pushed to the scan."""
-    plan = X.stats_features(ctx.panel, ctx.cfg)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    rows = X._measures(X.history(ctx.panel, ctx.cfg), ctx.cfg, X.BASE, X.PAIR_MEASURES)
+    df = X.add_pair_targets(rows, ctx.cfg, "train")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count(" Sort ") <= 2
     assert "Python" not in plan and "PushedFilters: [IsNotNull(dispensing_date)" in plan
 
 
