@@ -163,7 +163,7 @@ def _fused_train_features(panel: DataFrame, calendar: DataFrame, cfg: DemandConf
 
     in_recency = (F.col("__dose") >= 0) & (F.col(cfg.day) >= F.lit(cfg.recency_start))
     visited = F.when((F.col("__dose") > 0) & in_recency, F.col(cfg.day))
-    last_day = F.last(visited, ignorenulls=True).over(X.until(cfg.pair, cfg.day, shift))
+    last_day = F.last(visited, ignorenulls=True).over(X.until_row(cfg.pair, cfg.day, shift))
     for kind in ("dow", "dts"):
         rows = X.add_segment_pair(rows, cfg, kind, shift)
     rows = rows.withColumn(X.RECENCY, F.when(in_recency, X.recency_expr(cfg, last_day)))

@@ -183,12 +183,17 @@ def until(keys: Sequence[str], day: str, shift: int):
     )
 
 
+def until_row(keys: Sequence[str], day: str, shift: int):
+    """The same frame on a gap-free series; shares the day sort of the other windows."""
+    return Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -shift)
+
+
 def _last_nonzero(df: DataFrame, keys, cfg: DemandConfig, shift: int, value: str, active, out: str) -> DataFrame:
-    """Two delayed carries: among active rows, then forward over all rows.
+    """Two delayed carries on a gap-free series: among active rows, then over all rows.
 
     The inner carry sees the full table, the outer one only the feature history.
     """
-    upto = until(keys, cfg.day, shift)
+    upto = until_row(keys, cfg.day, shift)
     inner = F.last(F.when(active, F.struct(F.col(value).alias("x"))), ignorenulls=True).over(upto)
     df = df.withColumn("__inner", F.when(active, inner["x"]))
     df = history(df, cfg)
