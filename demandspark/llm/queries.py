@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandspark.llm.common import table
 
@@ -21,8 +22,55 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.quality_rules import rules_digest
+
+    return rules_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.toxicity import toxicity_digest
+
+    return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: The rules of the pages query (fixed values).
+URL_RULES = ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+#: Both texts of the conversation that the query adds (a fixed value).
+EXTRA_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.chat import chat_digest
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(EXTRA_TEXT).alias("text")
+    )
+    return chat_digest(rows.unionByName(extra))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.quality_classifier import quality_digest
+
+    return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
+    "op7_url_filter": op7_url_filter,
+    "op8_chat": op8_chat,
+    "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }
 
