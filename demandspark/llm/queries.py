@@ -22,6 +22,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.suffix_dedup import dedup_digest
+
+    return dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandspark.llm.quality_rules import rules_digest
 
@@ -66,6 +72,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
