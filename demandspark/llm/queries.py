@@ -28,6 +28,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.ngram_join import link_documents
+
+    return link_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandspark.llm.quality_rules import rules_digest
 
@@ -73,6 +79,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_ngram_join": op4_ngram_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
