@@ -28,6 +28,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.langid import language_digest
+
+    return language_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandspark.llm.ngram_join import link_documents
 
@@ -79,6 +85,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_language_id": op3_language_id,
     "op4_ngram_join": op4_ngram_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import U64, byte_values, held_out, lower_table, mix, pieces, ranges, renamed, rolling, text_bytes, with_fields
@@ -121,12 +121,9 @@ def fit(texts: list[str], labels: np.ndarray, smooth: float = 1.0, least_ratio:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> tuple[list[str], np.ndarray]:
     """At most ``max_rows`` texts of each label of the rows that are not held out, in the order of a hash."""
     known = renamed(labels, doc_id="doc_id", label=label).where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = None
-    for value in [r[0] for r in known.select("label").distinct().orderBy("label").limit(16).collect()]:
-        part = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    if chosen is None:
-        return [], np.zeros(0)
+    # The rank is cut in each task before the shuffle, so that a frequent label stays small.
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = known.withColumn("rank", rank).where(F.col("rank") <= max_rows).select("doc_id", "label")
     rows = renamed(docs, doc_id="doc_id", text="text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("text", "label").toPandas()
     rows = rows.sort_values(["text", "label"], kind="stable")
     return rows["text"].tolist(), rows["label"].to_numpy()
