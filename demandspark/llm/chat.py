@@ -82,8 +82,10 @@ def _keys(json: Column) -> Column:
 def json_fingerprint(record: Column) -> Column:
     """The fingerprint of a JSON record: its fields, and those of the objects in its arrays."""
 
+    fields = F.from_json(record, "map<string,string>")
+
     def below(key: Column) -> Column:
-        items = F.from_json(F.get_json_object(record, F.concat(F.lit("$['"), key, F.lit("']"))), "array<string>")
+        items = F.from_json(fields[key], "array<string>")
         keys = F.array_distinct(F.flatten(F.transform(items, _keys)))
         return F.when(items.isNull(), F.array(key)).otherwise(F.transform(keys, lambda k: F.concat(key, F.lit("[]."), k)))
 
@@ -176,7 +178,7 @@ def conversations_from_rows(rows: DataFrame) -> DataFrame:
 
     A conversation is one text in the end, so that its rows have to meet.
     """
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("turn").isNull().alias("last"), F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))))
     messages = F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     return rows.groupBy("conv_id").agg(F.struct(messages.alias("messages")).alias("record"))
 
