@@ -1,9 +1,8 @@
 """Train and predict datasets.
 
-``train_dataset`` fuses all feature families into one pass: item- and
-name-level columns are joined to the narrow panel first, then every window runs
-on a single (item, location) partitioning, narrow sorts before wide ones, and
-no wide feature table is ever shuffled.
+``train_dataset`` shuffles the narrow panel once, by (item, location): all pair
+windows and the sampling run on that partitioning.  Item- and name-level columns
+are computed on their own small series and joined last, to the sampled rows only.
 
 ``predict_dataset`` needs one base day only, so every window collapses to a
 conditional aggregate: three grouped aggregations with map-side combine.
@@ -143,23 +142,21 @@ def _name_frame(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, varian
     return X.packed(series, ["general_name", cfg.location, cfg.day], _name_columns(cfg), "__name")
 
 
-def _fused_train_features(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, label: str) -> DataFrame:
-    """Panel rows of the dataset days with label, recency and every feature column."""
+def _pair_rows(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, label: str) -> DataFrame:
+    """Panel rows of the dataset days with label, split, recency and the pair's features, sampled."""
     spec, shift = LABELS[label], cfg.horizon
     carried = [c for c in panel.columns if c not in set(cfg.keys)]
     # the panel's own columns ride along packed, so the windows move one value
     rows = panel.select(
         *cfg.keys,
-        "general_name",
         "dayofweek",
         F.struct(*carried).alias("__panel"),
         *[F.col(X.source_column(m, spec.variant)).alias(m) for m in PAIR_MEASURES],
         F.col("total_dose_by_yj_store").alias("__dose"),
     )
     rows = X.with_calendar(rows, calendar, cfg, ["day_type_sequence", "is_holiday", "day_type"])
-    rows = rows.join(_item_frame(panel, calendar, cfg, spec.variant), [cfg.item, cfg.day], "left")
-    rows = null_safe(rows, _name_frame(panel, calendar, cfg, spec.variant), ["general_name", cfg.location, cfg.day])
-    rows = rows.drop("general_name")
+    # also serves the windows by weekday and by day type within a pair
+    rows = rows.repartition(*cfg.pair)
 
     in_recency = (F.col("__dose") >= 0) & (F.col(cfg.day) >= F.lit(cfg.recency_start))
     visited = F.when((F.col("__dose") > 0) & in_recency, F.col(cfg.day))
@@ -169,21 +166,17 @@ def _fused_train_features(panel: DataFrame, calendar: DataFrame, cfg: DemandConf
     rows = rows.withColumn(X.RECENCY, F.when(in_recency, X.recency_expr(cfg, last_day)))
     rows = dataset_days(X.add_pair_targets(rows, cfg, "train", trim=False), cfg)
     inside = f"{quoted(cfg.day)} >= date'{cfg.feature_start}'"
-    source = {c: f"__item.{quoted(c)}" for c in _item_columns(cfg)} | {
-        c: f"__name.{quoted(c)}" for c in _name_columns(cfg)
-    }
-    return rows.selectExpr(
+    other = {*_item_columns(cfg), *_name_columns(cfg)}
+    rows = rows.selectExpr(
         *cfg.keys,
         *[f"__panel.{quoted(c)} as {quoted(c)}" for c in carried],
-        *[
-            (source[c] if c in source else f"if({inside}, {quoted(c)}, null)") + f" as {quoted(c)}"
-            for c in feature_columns(cfg)
-        ],
+        *[f"if({inside}, {quoted(c)}, null) as {quoted(c)}" for c in feature_columns(cfg) if c not in other],
         X.RECENCY,
         "is_holiday",
         "day_type",
         "day_type_sequence",
     )
+    return train_sample(with_label(rows, cfg, label), cfg, label)
 
 
 def train_dataset(
@@ -200,12 +193,17 @@ def train_dataset(
     ``subject`` optionally adds the aggregated subject features.
     """
     spec = LABELS[label]
-    rows = _fused_train_features(panel, calendar, cfg, label)
-    rows = train_sample(with_label(rows, cfg, label), cfg, label)
+    # joined while the rows are still partitioned by pair
+    rows = _pair_rows(panel, calendar, cfg, label).join(doctors, cfg.pair, "left")
+    rows = rows.join(_item_frame(panel, calendar, cfg, spec.variant), [cfg.item, cfg.day], "left")
+    rows = null_safe(rows, _name_frame(panel, calendar, cfg, spec.variant), ["general_name", cfg.location, cfg.day])
+    rows = rows.selectExpr(
+        *[quoted(c) for c in rows.columns if c not in ("__item", "__name")],
+        *[f"__item.{quoted(c)} as {quoted(c)}" for c in _item_columns(cfg)],
+        *[f"__name.{quoted(c)} as {quoted(c)}" for c in _name_columns(cfg)],
+    )
     rows = rows.drop(*UNAVAILABLE, *(SCALED_TARGETS if spec.variant == X.SCALED else ()))
-    if subject is not None:
-        rows = rows.join(subject, cfg.keys, "left")
-    return rows.join(doctors, cfg.pair, "left")
+    return rows if subject is None else rows.join(subject, cfg.keys, "left")
 
 
 # -- prediction ----------------------------------------------------------------

@@ -285,7 +285,7 @@ def target_features(panel: DataFrame, cfg: DemandConfig, mode: str = "train", va
     """The complete target-feature table, one row per key and feature day.
 
     Item-level columns are computed once per item and joined, packed, to the
-    narrow panel before the pair windows.
+    feature days only, after the pair windows.
     """
     shift = shift_of(mode, cfg)
     item_columns = item_target_columns(cfg)
@@ -295,8 +295,7 @@ def target_features(panel: DataFrame, cfg: DemandConfig, mode: str = "train", va
     items = packed(
         feature_days(add_item_targets(series, cfg, mode), cfg), [cfg.item, cfg.day], item_columns, "__item"
     )
-    rows = _measures(panel, cfg, variant, PAIR_MEASURES).join(items, [cfg.item, cfg.day], "left")
-    out = add_pair_targets(rows, cfg, mode)
+    out = add_pair_targets(_measures(panel, cfg, variant, PAIR_MEASURES), cfg, mode).join(items, [cfg.item, cfg.day], "left")
     own = set(item_columns)
     return out.selectExpr(
         *[quoted(k) for k in cfg.keys],

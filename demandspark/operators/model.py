@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandspark.functions.stage import running_totals
+from demandspark.functions.stage import running_totals, stage
 
 # Fixed replacement values for categories not shared by train and valid.
 OTHER_TEXT = "other"
@@ -67,7 +67,7 @@ def fit_encoder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ],
         "feature string, text string, number double",
     )
-    values = known_categories(df, columns).unionByName(others).distinct()
+    values = stage(known_categories(df, columns).unionByName(others).distinct(), "categories")
     one = {"rank": F.lit(1).cast("long")}
     texts = running_totals(values.filter("text is not null"), ["feature"], "text", one, "codes")
     numbers = running_totals(values.filter("number is not null"), ["feature"], "number", one, "codes")
@@ -107,10 +107,13 @@ def encode_categories(df: DataFrame, columns: Sequence[str], suffix: str = "_cod
 
 @dataclass(frozen=True)
 class BoostParams:
-    """Boosting settings under their Spark names; defaults are the published ones,
-    with the number of rounds bounded (the reference stops early)."""
+    """Boosting settings under their Spark names; defaults are the published ones.
 
-    max_iter: int = 100
+    Fitting stops when ``patience`` rounds have not improved the validation error.
+    """
+
+    max_iter: int = 100_000
+    patience: int = 200
     step: float = 0.01
     depth: int = 8
     bins: int = 256
@@ -152,6 +155,36 @@ class Fit:
     columns: tuple[str, ...]
 
 
+def stopped(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The best round so far, from 1, and whether ``patience`` rounds after it brought nothing better."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def best_rounds(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str, params: BoostParams) -> int:
+    """Rounds after which the validation error is best, by a patience rule.
+
+    Boosting can't be resumed, so that a fit that has not stopped is repeated with
+    twice the rounds; all in all that is less than twice the last fit.
+    """
+    prepare = Pipeline(stages=_features(features, params.missing)).fit(train)
+    fitted, checked = prepare.transform(train).select(label, "features"), prepare.transform(valid).select(label, "features")
+    if checked.isEmpty():
+        return params.patience
+    rounds = min(params.max_iter, 2 * params.patience)
+    while True:
+        model = params.regressor(label, rounds).fit(fitted)
+        best, done = stopped(model.evaluateEachIteration(checked, "squared"), params.patience)
+        if done or rounds >= params.max_iter:
+            return best
+        rounds = min(params.max_iter, 2 * rounds)
+
+
 def fit_two_phase(df: DataFrame, features: Sequence[str], label: str, params: BoostParams | None = None) -> Fit:
     """Find the number of rounds on the valid split, then refit on everything
     but the test split with rounds scaled by the row ratio.
@@ -160,15 +193,11 @@ def fit_two_phase(df: DataFrame, features: Sequence[str], label: str, params: Bo
     """
     params = params or BoostParams()
     rest = df.filter(F.coalesce(F.col("split_flag") != "test", F.lit(True)))
-    first = rest.filter(F.col("split_flag").isin("train", "valid")).withColumn(
-        "__valid", F.col("split_flag") == "valid"
-    )
-    gbt = params.regressor(label).setValidationIndicatorCol("__valid")
-    probe = Pipeline(stages=[*_features(features, params.missing), gbt]).fit(first)
+    best = best_rounds(split(rest, "train"), split(rest, "valid"), features, label, params)
     sizes = rest.agg(
         F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("split_flag") == "train", 1)).alias("train")
     ).head()
-    rounds = max(1, int(probe.stages[-1].getNumTrees * sizes["all"] / max(1, sizes["train"])))
+    rounds = max(1, int(best * sizes["all"] / max(1, sizes["train"])))
     final = Pipeline(stages=[*_features(features, params.missing), params.regressor(label, rounds)]).fit(rest)
     return Fit(final, rounds, tuple(features))
 

@@ -43,3 +43,13 @@ def assert_dense(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     if bad:
         raise QualityError(f"series have gaps, e.g. {[tuple(r) for r in bad]}")
     return df
+
+
+def assert_filled(df: DataFrame, schema) -> DataFrame:
+    """Raise if a column that ``schema`` declares as never NULL holds one."""
+    must = [f.name for f in schema.fields if not f.nullable]
+    row = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in must]).first()
+    bad = {c: row[c] for c in must if row[c]}
+    if bad:
+        raise ValueError(f"NULL in {bad}")
+    return df

@@ -22,7 +22,7 @@ from demandspark.operators import model as M
 from demandspark.operators import panel as P
 from demandspark.operators import publish as B
 from demandspark.operators import subject as S
-from demandspark.operators.quality import assert_dense, assert_unique
+from demandspark.operators.quality import assert_dense, assert_filled, assert_unique
 from demandspark.sources import schemas
 from demandspark.sources.files import write_csv
 from demandspark.sources.tables import MONTH, read_table, refresh_range, replace_table
@@ -42,7 +42,7 @@ class Sources:
 def update_panel(src: Sources, cfg: DemandConfig, warehouse: str) -> DataFrame:
     """Recompute the panel's span in place and return it."""
     pairs = stage(P.assortment(src.srq, src.drug, src.units, cfg), "pairs")
-    panel = P.horizon_panel(src.rx, pairs, src.drug, cfg)
+    panel = assert_filled(schemas.conform(P.horizon_panel(src.rx, pairs, src.drug, cfg), schemas.PANEL), schemas.PANEL)
     path = f"{warehouse}/panel"
     refresh_range(panel, path, cfg.day, cfg.panel_start, cfg.panel_end, cfg.keys, [cfg.location, cfg.item])
     return load_panel(src.rx.sparkSession, cfg, warehouse)
@@ -99,7 +99,7 @@ def build_predict_dataset(src: Sources, cfg: DemandConfig, warehouse: str, name:
     """Assemble, check and write the base day's prediction rows."""
     spark = src.rx.sparkSession
     variant = panel_variant(load_panel(spark, cfg, warehouse), cfg, label)
-    if label != "log":
+    if D.LABELS[label].variant != X.BASE:
         variant = stage(variant, f"panel-{label}")
     path = f"{warehouse}/predict_dataset_{name}"
     rows = D.predict_dataset(variant, src.calendar, X.doctor_feature(src.rx, cfg), cfg, label)
@@ -168,6 +168,8 @@ def publish_predictions(
     preds = scored.select(*cfg.keys, "predicted_total_dose")
     if label == "log":
         final = B.inverse_log(preds, cfg)
+    elif label == "raw":
+        final = preds
     elif label == "diff":
         final = B.inverse_diff(preds, scored, cfg)
     else:

@@ -26,6 +26,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """A new session with the caller's settings and those above; the caller's is not touched."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return tune(own)
+
+
 def session(name: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; local masters get laptop-sized defaults."""
     b = SparkSession.builder.appName(name)

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from demandspark.functions.stage import stage
 from demandspark.operators.quality import assert_unique
 
+#: Rows of one file that an upsert writes.
+ROWS_PER_FILE = 1_000_000
 MONTH = "dispensing_month"
 
 
@@ -132,10 +134,12 @@ def merge_table(
     src = stage(source.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), "merge-source")
     assert_unique(src, keys)
     touched = src.select(partition_by).distinct()
+    files = 1 + src.count() // max(1, touched.count()) // ROWS_PER_FILE
     target = read_table(spark, path, schema).join(touched, partition_by, "left_semi").select(*schema.names)
     (
         stage(merged(target, src, keys, update), "merge")
-        .repartition(*keys)
+        # one file in each directory, or as many as its rows need
+        .repartition(partition_by, F.pmod(F.xxhash64(*keys), F.lit(files)))
         .sortWithinPartitions(partition_by, *[k for k in keys if k != partition_by])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -64,7 +64,7 @@ class TestData:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _facts(self, item: Column, location: Column) -> DataFrame:
+    def _facts(self, item: Column, location: Column, subject: Column) -> DataFrame:
         return (
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -74,7 +74,7 @@ class TestData:
                 item.alias("yj_code"),
                 location.cast("string").alias("store_code"),
                 F.col("l_shipdate").cast("date").alias("dispensing_date"),
-                F.concat(F.lit("P"), F.lpad((F.col("o_custkey") % 50).cast("string"), 4, "0")).alias("patient_no"),
+                F.concat(F.lit("P"), F.lpad(subject.cast("string"), 9, "0")).alias("patient_no"),
                 (7 * (F.col("l_linenumber").cast("long") - 1)).alias("hi_kaisu"),
                 F.col("l_quantity").alias("total_dose"),
                 F.round("l_extendedprice", 0).alias("drug_price"),
@@ -84,11 +84,12 @@ class TestData:
 
     @cached_property
     def rx(self) -> DataFrame:
-        return self._facts(_brand_item(), F.col("s_nationkey"))
+        return self._facts(_brand_item(), F.col("s_nationkey"), F.col("o_custkey"))
 
     @cached_property
     def rx_coarse(self) -> DataFrame:
-        return self._facts(_type_item(), F.col("s_nationkey") % 5)
+        """Facts in which subjects come back often: few subjects and locations on purpose."""
+        return self._facts(_type_item(), F.col("s_nationkey") % 5, F.col("o_custkey") % 50)
 
     @cached_property
     def drug(self) -> DataFrame:
@@ -111,8 +112,10 @@ class TestData:
 
     @cached_property
     def srq(self) -> DataFrame:
-        """Every item at the locations below 20: some facts fall outside the assortment."""
-        return self.drug.select("yj_id", F.explode(F.sequence(F.lit(1000).cast("long"), F.lit(1019).cast("long"))).alias("soshiki_unit_id_store"))
+        """The assortment: every pair of item and location that has facts."""
+        return self.rx.select(
+            F.concat(F.lit("ID"), F.col("yj_code")).alias("yj_id"), (F.col("store_code").cast("long") + 1000).alias("soshiki_unit_id_store")
+        ).distinct()
 
     @cached_property
     def pairs_coarse(self) -> DataFrame:

@@ -1,5 +1,7 @@
 """Properties linking train, predict and as-of features on the test tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +100,19 @@ def test_pair_features_shuffle_the_panel_once(ctx):
     assert "Python" not in plan and "PushedFilters: [IsNotNull(dispensing_date)" in plan
 
 
+def test_train_dataset_shuffles_narrow_pair_rows_once(ctx):
+    """One exchange by pair, none by the day alone; the item and name series are joined to sampled rows."""
+    df = D.train_dataset(ctx.panel, ctx.calendar, ctx.doctors, ctx.cfg)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    by_key = re.findall(r"Exchange hashpartitioning\((.*?), \d+\), (\w+)", plan)
+    keys = [(re.sub(r"#\d+L?", "", k), origin) for k, origin in by_key]
+    assert [k for k, origin in keys if origin == "REPARTITION_BY_COL"] == ["yj_code, store_code"]
+    # the prescribers' own aggregation and nothing else comes by pair
+    assert sum(k == "yj_code, store_code" for k, _ in keys) == 2
+    assert not any(k == "dispensing_date" for k, _ in keys)
+    assert "Python" not in plan
+
+
 def test_default_columns_reach_the_published_count():
     cfg = DemandConfig()
     calendar_and_recency = 12

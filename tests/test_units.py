@@ -88,7 +88,7 @@ def test_replicated_standard_deviation(spark):
         "yj_code string, dispensing_date date, total_dose_by_yj double, total_price_by_yj double, "
         "nunique_patient_by_yj long, locations double, active boolean",
     )
-    rows = X.item_stats(s, cfg).orderBy("dispensing_date").collect()
+    rows = X.item_stats(s, cfg, "predict").orderBy("dispensing_date").collect()
     assert rows[0]["total_dose_by_yj_STDDEV_3"] == 0.0
     assert rows[2]["total_dose_by_yj_STDDEV_3"] == pytest.approx((2 * (14 / 3) / 5) ** 0.5)
     assert rows[2]["nunique_patient_by_yj_MIN_3"] == 1
