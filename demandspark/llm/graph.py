@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.functions.stage import stage
+from demandspark.functions.stage import fresh_path, remove
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "stars") -> DataFrame:
@@ -15,15 +15,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "stars"
     neighbours; both are a grouped minimum joined back, so that no node's neighbours have
     to meet in one task.  Each round is a written table.
     """
+    spark = edges.sparkSession
+
+    def written(df: DataFrame) -> tuple[DataFrame, str]:
+        path = fresh_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
     start = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
-    stars, before = stage(start, name), None
+    (stars, path), before = written(start), None
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = stage(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), name)
+        last = path
+        stars, path = written(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct())
+        remove(spark, last)
         now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -95,4 +95,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP2 = """
+with texts as (select doc_id, hex(encode(coalesce(text, ''))) as h, cast(octet_length(encode(coalesce(text, ''))) as bigint) as n from documents),
+places as (select doc_id, unnest(list_transform(range(n - 99), lambda i: {'i': i, 'k': md5(substr(h, 2 * i + 1, 200))})) as p from texts where n >= 100),
+windows as (select doc_id, p.i as i, row_number() over (partition by p.k order by doc_id, p.i) as nth from places),
+again as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) as gap from windows where nth > 1),
+runs as (select doc_id, i, sum(case when gap <= 100 then 0 else 1 end) over (partition by doc_id order by i) as run from again),
+spans as (select doc_id, min(i) as a, max(i) + 100 as b from runs group by doc_id, run),
+kept as (
+  select doc_id, lag(b, 1, 0) over (partition by doc_id order by a) as a, a as b from spans
+  union all select t.doc_id, coalesce(max(s.b), 0), any_value(t.n) from texts t left join spans s using (doc_id) group by t.doc_id),
+rest as (select k.doc_id, string_agg(substr(t.h, 2 * k.a + 1, 2 * (k.b - k.a)), '' order by k.a) as h from kept k join texts t using (doc_id) group by k.doc_id)
+select t.doc_id, t.n as n_bytes, cast(coalesce(g.gone, 0) as bigint) as n_removed, coalesce(g.spans, 0) as n_spans, sha256(unhex(r.h)) as kept_sha256
+from texts t join rest r using (doc_id) left join (select doc_id, sum(b - a) as gone, count(*) as spans from spans group by doc_id) g using (doc_id)
+"""
+
+_OP4 = f"""
+with recursive words as (select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+shingles as (
+  select distinct doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) as s from words where len(w) >= 3
+  union all select doc_id, array_to_string(w, ' ') from words where len(w) in (1, 2)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as k from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 90 * (x.n + y.n - k)),
+edges as (select a, b from links union select b, a from links),
+reach(doc_id, other) as (select doc_id, doc_id from documents union select r.doc_id, e.b from reach r join edges e on r.other = e.a)
+select doc_id, coalesce(n, 0) as n_shingles, component_id
+from (select doc_id, min(other) as component_id from reach group by doc_id) left join sizes using (doc_id)
+"""
+
+_OP8 = f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{EXTRA_TEXT}' union all select -7, 1, 'assistant', '{EXTRA_TEXT}'),
+sized as (
+  select *, row_number() over (partition by conv_id order by turn nulls last, role, text) as n,
+    14 + length(role) + length(text) + (2 * length(role) + length(text) - length(replace(role, '\\', '')) - length(replace(role, ':', '')) - length(replace(text, '\\', '')))
+      + (length(role || text) - length(replace(role, '</turn>', '') || replace(text, '</turn>', ''))) // 7
+      + coalesce(list_sum([len(x) - 2 for x in regexp_extract_all(role, '#{{3,}}')]), 0) + coalesce(list_sum([len(x) - 2 for x in regexp_extract_all(text, '#{{3,}}')]), 0) as chars
+  from turns)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+  length(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_sha256, cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""
+
+_OP10 = f"""
+with docs as (select doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+items as (select item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+tests as (
+  select distinct item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' '))) as s
+  from (select item_id, w, least(len(w), 13) as n from items where len(w) > 0)),
+places as (
+  select doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: {{'i': i, 's': array_to_string(w[i : i + n - 1], ' ')}})) as p
+  from docs, (select distinct n from tests) where len(w) >= n),
+found as (select p.doc_id, p.p.i as i, p.n, t.item_id from places p join tests t on p.n = t.n and p.p.s = t.s),
+hit as (select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(i, i + n)) as k from found) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from docs left join hit using (doc_id) left join named using (doc_id)
+"""
+
+#: What needs a model or the tokenizer has no SQL; its tests hold it against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": _OP2,
+    "op4_ngram_join": _OP4,
+    "op8_chat": _OP8,
+    "op10_decontaminate": _OP10,
+}
