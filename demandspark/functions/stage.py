@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT = "spark.checkpoint.dir"
 _local: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,6 +29,25 @@ def shared_dir(spark: SparkSession) -> str:
     return _local[app]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Folders staged inside are deleted at the end: for steps that leave their result in a table."""
+    app = spark.sparkContext.applicationId
+    before = set(_staged.setdefault(app, []))
+    try:
+        yield
+    finally:
+        for path in [p for p in _staged[app] if p not in before]:
+            remove(spark, path)
+            _staged[app].remove(path)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -39,6 +60,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -4,7 +4,9 @@ The dense subject panel (subject x item x location x day) is by far the largest
 table of the pipeline, yet everything it carries changes only on days with a
 dispensing event.  So all windows here run over the *events* of a triple, and a
 narrow ``explode`` spreads each state over the days until the next event.  The
-dense panel is never sorted or shuffled.
+summaries per (item, location, day) combine the dense rows before they are
+shuffled; only ``subject_intervals`` and ``subject_features``, which return the
+dense panel itself, join it.
 """
 
 from __future__ import annotations
@@ -321,31 +323,69 @@ def _dose_columns(cfg: DemandConfig) -> list[str]:
     ]
 
 
-def patient_agg(
-    intervals: DataFrame, expected: DataFrame, cfg: DemandConfig, windows: Sequence[int] | None = None
-) -> DataFrame:
-    """Subject features of returning subjects summarised per (item, location, day).
+#: Measures of the dense panel, and the one that follows from the mode of its (item, day).
+DENSE_MEASURES = ("diff_pred_prescription_date", "num_visit", "day_from_last_dispensing")
+MODE_MEASURE = "diff_stats_prescription_date"
 
-    ``windows`` (default: the configured ``stats_days``) adds the same
-    aggregates over ``[t - s - delay, t - delay]``.
+
+def _daily_summaries(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, exact: bool) -> DataFrame:
+    """Returning subjects summarised per (item, location, day); ``exact`` adds counts and integer sums.
+
+    The distance to the statistically predicted visit is the days since the last
+    visit less the interval mode, one value per (item, day): it is taken off the
+    summaries, so that the dense panel is never joined.
     """
-    windows = cfg.stats_days if windows is None else tuple(windows)
-    base = intervals.filter("num_visit > 0")
-    exact = []
-    if windows:
-        for m in AGG_MEASURES:
+    day = cfg.day
+    base = subject_history(rx, pairs, cfg).filter("num_visit > 0").select(
+        *cfg.keys,
+        F.datediff(day, "filled_pred_prescription_date").cast("long").alias("diff_pred_prescription_date"),
+        "num_visit",
+        F.datediff(day, "lag_dispensing_date").cast("long").alias("day_from_last_dispensing"),
+    )
+    cells = [aggregate(op, m).alias(f"{op}_{m}_yj_store") for op in cfg.ops for m in DENSE_MEASURES]
+    if exact:
+        for m in DENSE_MEASURES:
             wide = F.col(m).cast("decimal(38,0)")
-            exact += [
+            cells += [
                 F.count(m).alias(f"__n_{m}"),
                 F.sum(m).alias(f"__s_{m}"),
                 F.sum(wide * F.col(m)).alias(f"__q_{m}"),
                 F.min(m).alias(f"__lo_{m}"),
                 F.max(m).alias(f"__hi_{m}"),
             ]
-    daily = base.groupBy(*cfg.keys).agg(
-        *[aggregate(op, m).alias(f"{op}_{m}_yj_store") for op in cfg.ops for m in AGG_MEASURES], *exact
-    )
-    out = daily.join(expected.select(*cfg.keys, *_dose_columns(cfg)), cfg.keys, "left")
+    mode, since = F.col("interval_prescription"), "day_from_last_dispensing"
+    modes = interval_mode(rx, pairs, cfg).select(cfg.item, day, "interval_prescription")
+    daily = base.groupBy(*cfg.keys).agg(*cells).join(modes, [cfg.item, day], "left")
+    shifted = {
+        f"{op}_{MODE_MEASURE}_yj_store": F.col(f"{op}_{since}_yj_store") - mode
+        if op != "STDDEV"
+        else F.when(mode.isNotNull(), F.col(f"STDDEV_{since}_yj_store"))
+        for op in cfg.ops
+    }
+    if exact:
+        n, s, q = F.col(f"__n_{since}"), F.col(f"__s_{since}"), F.col(f"__q_{since}")
+        wide = mode.cast("decimal(19,0)")
+        shifted |= {
+            f"__n_{MODE_MEASURE}": F.when(mode.isNotNull(), n).otherwise(0),
+            f"__s_{MODE_MEASURE}": s - n * mode,
+            f"__q_{MODE_MEASURE}": (q - wide * s.cast("decimal(19,0)") * 2 + wide * wide * n).cast("decimal(38,0)"),
+            f"__lo_{MODE_MEASURE}": F.col(f"__lo_{since}") - mode,
+            f"__hi_{MODE_MEASURE}": F.col(f"__hi_{since}") - mode,
+        }
+    return daily.withColumns(shifted)
+
+
+def patient_agg(
+    rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, windows: Sequence[int] | None = None
+) -> DataFrame:
+    """Subject features of returning subjects summarised per (item, location, day).
+
+    ``windows`` (default: the configured ``stats_days``) adds the same
+    aggregates over ``[t - s - delay, t - delay]``.
+    """
+    windows = cfg.stats_days if windows is None else tuple(windows)
+    daily = _daily_summaries(rx, pairs, cfg, bool(windows))
+    out = daily.join(expected_demand(rx, pairs, cfg).select(*cfg.keys, *_dose_columns(cfg)), cfg.keys, "left")
     if windows:
         out = _patient_windows(out, cfg, windows)
     names = [f"{op}_{m}_yj_store" for op in cfg.ops for m in AGG_MEASURES]
@@ -389,9 +429,7 @@ def _patient_windows(df: DataFrame, cfg: DemandConfig, windows: Sequence[int]) -
     return df.selectExpr("*", *sums).selectExpr("*", *cells)
 
 
-def patient_window_agg(
-    intervals: DataFrame, expected: DataFrame, cfg: DemandConfig, windows: Sequence[int]
-) -> DataFrame:
+def patient_window_agg(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, windows: Sequence[int]) -> DataFrame:
     """Only the windowed columns of ``patient_agg``."""
-    out = patient_agg(intervals, expected, cfg, windows)
+    out = patient_agg(rx, pairs, cfg, windows)
     return out.select(*cfg.keys, *patient_window_columns(cfg, windows))

@@ -7,14 +7,16 @@ DataFrames with the documented columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.config import DemandConfig
-from demandspark.functions.stage import stage
+from demandspark.functions.stage import stage, staging
 from demandspark.operators import abc as A
 from demandspark.operators import dataset as D
 from demandspark.operators import features as X
@@ -39,6 +41,18 @@ class Sources:
     calendar: DataFrame
 
 
+def cleaned(step: Callable) -> Callable:
+    """A step whose staged folders go when its tables are written."""
+
+    @wraps(step)
+    def run(*args, **kwargs):
+        with staging(SparkSession.active()):
+            return step(*args, **kwargs)
+
+    return run
+
+
+@cleaned
 def update_panel(src: Sources, cfg: DemandConfig, warehouse: str) -> DataFrame:
     """Recompute the panel's span in place and return it."""
     pairs = stage(P.assortment(src.srq, src.drug, src.units, cfg), "pairs")
@@ -67,11 +81,10 @@ def panel_variant(panel: DataFrame, cfg: DemandConfig, label: str) -> DataFrame:
 
 
 def subject_aggregates(src: Sources, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
-    return S.patient_agg(
-        S.subject_intervals(src.rx, pairs, cfg), S.expected_demand(src.rx, pairs, cfg), cfg
-    )
+    return S.patient_agg(src.rx, pairs, cfg)
 
 
+@cleaned
 def build_train_dataset(
     src: Sources, cfg: DemandConfig, warehouse: str, name: str, label: str, use_subject: bool = False
 ) -> DataFrame:
@@ -95,6 +108,7 @@ def build_train_dataset(
     return assert_unique(spark.read.parquet(path).drop(MONTH), cfg.keys)
 
 
+@cleaned
 def build_predict_dataset(src: Sources, cfg: DemandConfig, warehouse: str, name: str, label: str) -> DataFrame:
     """Assemble, check and write the base day's prediction rows."""
     spark = src.rx.sparkSession
@@ -115,6 +129,7 @@ def numeric_features(df: DataFrame, exclude: set[str]) -> list[str]:
     ]
 
 
+@cleaned
 def train_model(
     dataset: DataFrame,
     cfg: DemandConfig,
@@ -155,6 +170,7 @@ UNSEEN_TARGETS = (
 )
 
 
+@cleaned
 def publish_predictions(
     dataset: DataFrame, cfg: DemandConfig, label: str, path: str, warehouse: str, name: str, panel: DataFrame | None = None
 ) -> None:
@@ -177,6 +193,7 @@ def publish_predictions(
     B.merge_predictions(final, f"{warehouse}/prediction_{name}", cfg)
 
 
+@cleaned
 def update_abc(panel: DataFrame, cfg: DemandConfig, warehouse: str) -> DataFrame:
     """Refresh the ABC classes of the test range."""
     classes = schemas.conform(A.abc_class(panel, cfg), schemas.ABC)
@@ -184,6 +201,7 @@ def update_abc(panel: DataFrame, cfg: DemandConfig, warehouse: str) -> DataFrame
     return panel.sparkSession.read.parquet(f"{warehouse}/abc").drop(MONTH)
 
 
+@cleaned
 def blend(spark: SparkSession, cfg: DemandConfig, warehouse: str, start: date, end: date) -> None:
     """Blend the diff and log models by class for prediction days ``[start, end)`` and upsert."""
     first = read_table(spark, f"{warehouse}/prediction_exp047", schemas.MODEL_PREDICTION)

@@ -99,12 +99,6 @@ class Context:
     def doctors(self) -> DataFrame:
         return X.doctor_feature(self.data.rx, self.cfg)
 
-    def intervals(self) -> DataFrame:
-        return S.subject_intervals(self.data.rx_coarse, self.data.pairs_coarse, self.cfg)
-
-    def expected(self) -> DataFrame:
-        return S.expected_demand(self.data.rx_coarse, self.data.pairs_coarse, self.cfg)
-
     def predictions(self, label: str) -> DataFrame:
         """Model output derived from the panel: a damped copy of the true label."""
         cfg = self.cfg
@@ -293,6 +287,15 @@ def _blend_predictions(c: Context) -> DataFrame:
     return B.blend_predictions(diff, log, A.abc_class(c.panel, cfg), cfg, cfg.abc_start, cfg.panel_end)
 
 
+def _merge_blend(c: Context) -> DataFrame:
+    """The blend of the first days, then of all days, upserted into one table."""
+    path, rows = fresh_path(c.spark, "blend"), stage(_blend_predictions(c), "blended")
+    first = F.date_add(F.lit(c.cfg.abc_start), 3)
+    B.merge_blend(rows.filter(F.col("pred_exe_date") < first).withColumn("predicted_values", F.lit(0.0)), path, c.cfg)
+    B.merge_blend(rows, path, c.cfg)
+    return read_table(c.spark, path, schemas.BLENDED_PREDICTION)
+
+
 def _calendar(c: Context) -> DataFrame:
     """The dimension written as a typed table and read back."""
     path = fresh_path(c.spark, "calendar")
@@ -335,7 +338,7 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
     "blend_predictions": (_blend_predictions, CHECK),
     "nunique_by_store": (lambda c: P.nunique_by_store(c.data.rx, c.cfg), WHOLE),
     "nunique_by_item": (lambda c: P.nunique_by_item(c.data.rx, c.cfg), WHOLE),
-    "patient_agg": (lambda c: S.patient_agg(c.intervals(), c.expected(), c.cfg), CHECK),
+    "patient_agg": (_coarse(S.patient_agg), CHECK),
     "doctor_feature": (lambda c: X.doctor_feature(c.data.rx, c.cfg), WHOLE),
     "regression_metrics": (_regression_metrics, CHECK),
     "horizon_target": (lambda c: P.horizon_target(c.data.rx, c.pairs, c.cfg), CHECK),
@@ -355,7 +358,7 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
     "cum_share": (lambda c: A.cum_share(stage(A.trailing_sum(c.panel, c.cfg), "sums"), c.cfg), CHECK),
     "trailing_sum": (lambda c: A.trailing_sum(c.panel, c.cfg), CHECK),
     "category_features": (lambda c: X.category_features(c.panel, c.cfg), CHECK),
-    "patient_window_agg": (lambda c: S.patient_window_agg(c.intervals(), c.expected(), c.cfg, SUBJECT_WINDOWS), CHECK),
+    "patient_window_agg": (lambda c: S.patient_window_agg(c.data.rx_coarse, c.data.pairs_coarse, c.cfg, SUBJECT_WINDOWS), CHECK),
     "feature_importance": (_feature_importance, CHECK),
     "days_since_last": (lambda c: X.days_since_last(c.panel, c.cfg), CHECK),
     "minmax_scaler": (lambda c: P.minmax_scaler(c.panel, c.cfg), CHECK),
@@ -367,6 +370,9 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
     "diff_category_features": (lambda c: X.category_features(c.diff, c.cfg, variant=X.DIFF), CHECK),
     "diff_holiday_features": (lambda c: X.holiday_features(c.diff, c.calendar, c.cfg, variant=X.DIFF), CHECK),
     "subject_intervals": (_coarse(S.subject_intervals), CHECK),
+    "subject_features": (_coarse(S.subject_features), CHECK),
+    "train_dataset_raw": (lambda c: _train(c, "raw", c.panel), CHECK),
+    "merge_blend": (_merge_blend, CHECK),
     "expected_demand": (_coarse(S.expected_demand), CHECK),
     "cyclic_encoding": (_cyclic, CHECK),
     "train_dataset_diff": (lambda c: _train(c, "diff", c.diff), CHECK),
