@@ -9,7 +9,8 @@ import time
 import duckdb
 
 from checks.oracle import TABLES, oracle_statements
-from demandspark.plans.queries import REGISTRY, run
+from demandspark.config import DemandConfig
+from demandspark.plans.queries import CHECK, REGISTRY, run
 
 
 def database(sf_dir: str) -> "duckdb.DuckDBPyConnection":
@@ -19,10 +20,10 @@ def database(sf_dir: str) -> "duckdb.DuckDBPyConnection":
     return con
 
 
-def compare(spark, con, sf_dir: str, key: str, sql: str) -> dict:
+def compare(spark, con, sf_dir: str, key: str, sql: str, cfg: DemandConfig | None = None) -> dict:
     """Row counts, column names and types, and rows found on one side only."""
     t0 = time.time()
-    df = run(key, spark, sf_dir)
+    df = run(key, spark, sf_dir, cfg if REGISTRY[key][1] is CHECK else None)
     out = tempfile.mkdtemp(prefix="cmp-") + "/out"
     df.write.parquet(out)
     t1 = time.time()

@@ -395,6 +395,6 @@ def operator(name: str, spark: SparkSession, sf_dir: str, cfg: DemandConfig | No
     return fn(context(spark, sf_dir, cfg or default))
 
 
-def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(name: str, spark: SparkSession, sf_dir: str, cfg: DemandConfig | None = None) -> DataFrame:
     """One registered query, rounded for comparison with its SQL."""
-    return rounded(operator(name, spark, sf_dir))
+    return rounded(operator(name, spark, sf_dir, cfg))

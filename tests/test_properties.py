@@ -9,12 +9,14 @@ from demandspark.config import DemandConfig
 from demandspark.operators import dataset as D
 from demandspark.operators import features as X
 from demandspark.operators.quality import assert_dense, assert_unique
-from demandspark.plans.queries import CHECK, context
+from demandspark.plans.queries import CHECK, END, context
+
+SHORT = DemandConfig(end=END, train_days=60, windows=(60, 30), lags=(1, 7, 28), max_last_days=60)
 
 
 @pytest.fixture(scope="module")
 def ctx(spark, smoke):
-    return context(spark, smoke)
+    return context(spark, smoke, SHORT)
 
 
 def differing(a, b, keys, columns):
