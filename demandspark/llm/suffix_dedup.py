@@ -46,7 +46,9 @@ from demandspark.llm.common import BASE, U64, byte_values, mix, pieces, ranges,
 LENGTH = 100
 GRAM = 32
 #: Text bytes whose anchors (or runs) one task puts into one row per shard.
-GATHER_BYTES = 24 << 20
+GATHER_BYTES = 16 << 20
+#: Rows of a table that are gathered at most, so that two bytes number them.
+GATHER_ROWS = 60_000
 #: Text bytes for each shard of anchors, of runs and of documents.
 ANCHOR_SHARD, RUN_SHARD, TEXT_SHARD = 48 << 20, 8 << 20, 24 << 20
 #: Windows that make a batch of the family.
@@ -121,8 +123,13 @@ def merged_runs(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.nda
 
 # --- step 1 and 2: anchors that occur more than once ---------------------------------------
 
-ANCHORS = "shard long, docs binary, keys binary, row binary, at binary, first binary, n binary, sure boolean"
-FOUND = "__id long, __hash long, at binary, first binary, n binary"
+ANCHORS = "shard long, docs binary, keys binary, row binary, place binary, sure boolean"
+FOUND = "__id long, __hash long, place long"
+
+
+def pack(first: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """An anchor's first window, its place after that, and its number of windows, in one integer."""
+    return first.astype(np.int64) << 16 | (at - first).astype(np.int64) << 8 | n.astype(np.int64)
 
 
 def _names(batch: pa.RecordBatch) -> np.ndarray:
@@ -132,29 +139,30 @@ def _names(batch: pa.RecordBatch) -> np.ndarray:
 
 def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]]:
     """Lists of pieces with about ``limit`` text bytes."""
-    held, size = [], 0
+    held, size, rows = [], 0, 0
     for piece in pieces(batches):
+        if rows + piece[0].num_rows > GATHER_ROWS and held:
+            yield held
+            held, size, rows = [], 0, 0
         held.append(piece)
-        size += len(piece[1])
+        size, rows = size + len(piece[1]), rows + piece[0].num_rows
         if size >= limit:
             yield held
-            held, size = [], 0
+            held, size, rows = [], 0, 0
     if held:
         yield held
 
 
 def _anchor_rows(n_shards: int, length: int):
-    schema = pa.schema([("shard", pa.int64()), *[(c, pa.binary()) for c in ("docs", "keys", "row", "at", "first", "n")], ("sure", pa.bool_())])
-
-    def blob(a, kind):
-        return np.ascontiguousarray(a, kind).tobytes()
+    schema = pa.schema([("shard", pa.int64()), *[(c, pa.binary()) for c in ("docs", "keys", "row", "place")], ("sure", pa.bool_())])
+    # Six bytes of a place hold all of it.
+    short = lambda place: np.ascontiguousarray(place.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
-    def flush(names, keys, row, at, first, n):
-        names, keys, row, at, first, n = (np.concatenate(a) for a in (names, keys, row, at, first, n))
+    def flush(names, keys, row, place):
+        names, keys, row, place = (np.concatenate(a) for a in (names, keys, row, place))
         order = np.argsort(keys, kind="stable")
-        keys, row, at, first, n = keys[order], row[order], at[order], first[order], n[order]
-        new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
+        keys, row, place = keys[order], row[order], place[order]
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
         size = np.diff(np.append(begin, len(keys)))
         often = np.repeat(size > 1, size)
         out = []
@@ -167,77 +175,72 @@ def _anchor_rows(n_shards: int, length: int):
             cuts = np.flatnonzero(np.append(True, np.diff(shard[o]) != 0))
             for i, j in zip(cuts, np.append(cuts[1:], len(o)), strict=True):
                 p = part[o[i:j]]
+                key = b"" if sure else keys[p].tobytes()
                 if sure is None:
-                    out.append((int(shard[o[i]]), b"", blob(keys[p], U64), b"", b"", b"", b"", False))
+                    out.append((int(shard[o[i]]), b"", key, b"", b"", False))
                     continue
                 used, r = np.unique(row[p], return_inverse=True)
-                out.append((int(shard[o[i]]), blob(names[used], np.int64), b"" if sure else blob(keys[p], U64), blob(r, np.uint32), blob(at[p], np.uint32), blob(first[p], np.uint32), blob(n[p], np.uint8), bool(sure)))
+                out.append((int(shard[o[i]]), names[used].tobytes(), key, r.astype(np.uint16).tobytes(), short(place[p]), bool(sure)))
         for k in range(0, len(out), 64):
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out[k : k + 64], strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _gathered(batches, GATHER_BYTES):
-            names, keys, row, at, first, n, base = [], [], [], [], [], [], 0
+            names, keys, row, place, base = [], [], [], [], 0
             for batch, data, offsets in held:
                 names.append(_names(batch))
                 for i in np.flatnonzero(np.diff(offsets) >= length):
-                    k, a, f, c = anchors(data[offsets[i] : offsets[i + 1]], length)
-                    keys.append(k), at.append(a), first.append(f), n.append(c), row.append(np.full(len(k), base + i))
+                    k, at, first, n = anchors(data[offsets[i] : offsets[i + 1]], length)
+                    keys.append(k), place.append(pack(first, at, n)), row.append(np.full(len(k), base + i))
                 base += batch.num_rows
             if keys:
-                yield from flush(names, keys, row, at, first, n)
+                yield from flush(names, keys, row, place)
 
     return run
 
 
 def _repeated(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one shard of anchors those whose hash occurs again, by document."""
-    docs, keys, row, at, first, n, flags = [], [], [], [], [], [], []
+    """Of one shard of anchors those whose hash occurs again, a row each."""
+    docs, keys, row, place, flags = [], [], [], [], []
     base = 0
     for batch in group:
-        for r in batch.select(["docs", "keys", "row", "at", "first", "n", "sure"]).to_pylist():
+        for r in batch.select(["docs", "keys", "row", "place", "sure"]).to_pylist():
             d = np.frombuffer(r["docs"], np.int64).reshape(-1, 2)
-            k, w = np.frombuffer(r["keys"], U64), np.frombuffer(r["row"], np.uint32).astype(np.int64)
+            k, w = np.frombuffer(r["keys"], U64), np.frombuffer(r["row"], np.uint16)
             size = max(len(k), len(w))
             # 0: needs a second occurrence, 1: known to have one, 2: only tells of one
             flags.append(np.full(size, 1 if r["sure"] else 0 if len(w) else 2, np.int8))
             keys.append(k if len(k) else np.zeros(size, U64))
-            row.append(w + base if len(w) else np.zeros(size, np.int64))
-            for to, c, kind in ((at, "at", np.uint32), (first, "first", np.uint32), (n, "n", np.uint8)):
-                v = np.frombuffer(r[c], kind)
-                to.append(v if len(w) else np.zeros(size, kind))
+            row.append(w + np.uint32(base) if len(w) else np.zeros(size, np.uint32))
+            wide = np.zeros((size, 8), np.uint8)
+            if len(w):
+                wide[:, :6] = np.frombuffer(r["place"], np.uint8).reshape(-1, 6)
+            place.append(wide.view("<i8").ravel())
             docs.append(d)
             base += len(d)
     if not keys:
         return
-    docs, keys, row, at, first, n, flags = (np.concatenate(a) for a in (docs, keys, row, at, first, n, flags))
-    sure = flags == 1
-    u, inverse, count = np.unique(keys[~sure], return_inverse=True, return_counts=True)
-    told = np.zeros(len(u), bool)
-    told[inverse[flags[~sure] == 2]] = True
-    good = sure.copy()
-    good[~sure] = ((count > 1) | told)[inverse] & (flags[~sure] == 0)
-    row, at, first, n = row[good], at[good], first[good], n[good]
+    docs, keys, row, place, flags = (np.concatenate(a) for a in (docs, keys, row, place, flags))
+    good = flags == 1
+    open_ = np.flatnonzero(~good)
+    order = open_[np.argsort(keys[open_], kind="stable")]
+    begin = np.flatnonzero(np.append(True, keys[order[1:]] != keys[order[:-1]])) if len(order) else np.zeros(0, int)
+    size = np.diff(np.append(begin, len(order)))
+    told = np.add.reduceat(flags[order] == 2, begin) > 0 if len(begin) else np.zeros(0, bool)
+    again = order[np.repeat((size > 1) | told, size)]
+    good[again[flags[again] == 0]] = True
+    row, place = row[good], place[good]
     order = np.argsort(row, kind="stable")
-    row, at, first, n = row[order], at[order], first[order], n[order]
-    cuts = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, int)
-    ends = np.append(cuts[1:], len(row)) if len(row) else cuts
-    for k in range(0, len(cuts), 8192):
-        i, j = cuts[k : k + 8192], ends[k : k + 8192]
-        who = docs[row[i]]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(who[:, 0]), pa.array(who[:, 1]),
-                *[pa.array([v[a:b].tobytes() for a, b in zip(i, j, strict=True)], pa.binary()) for v in (at.astype(np.uint32), first.astype(np.uint32), n.astype(np.uint8))],
-            ],
-            names=["__id", "__hash", "at", "first", "n"],
-        )
+    for k in range(0, len(order), 50_000):
+        o = order[k : k + 50_000]
+        who = docs[row[o]]
+        yield pa.RecordBatch.from_arrays([pa.array(who[:, 0].copy()), pa.array(who[:, 1].copy()), pa.array(place[o])], names=["__id", "__hash", "place"])
 
 
 # --- step 3: runs of bytes, and their suffix arrays ----------------------------------------
 
 RUNS = "shard long, docs binary, start binary, n binary, bytes binary, settled boolean"
-DUPLICATES = "__id long, __hash long, start binary, stop binary"
+DUPLICATES = "__id long, __hash long, start int, stop int"
 
 
 def _run_rows(n_shards: int, length: int):
@@ -276,12 +279,12 @@ def _run_rows(n_shards: int, length: int):
             names, row, start, n, anchor, runs, base = [], [], [], [], [], [], 0
             for batch, data, offsets in held:
                 names.append(_names(batch))
-                for i, (ats, firsts, counts) in enumerate(zip(batch.column("at").to_pylist(), batch.column("first").to_pylist(), batch.column("n").to_pylist(), strict=True)):
+                for i, place in enumerate(lists(batch.column("place"))):
                     text = data[offsets[i] : offsets[i + 1]]
-                    at, f, c = (np.frombuffer(b"".join(v), k).astype(np.int64) for v, k in ((ats, np.uint32), (firsts, np.uint32), (counts, np.uint8)))
                     # Rows repeated in the table bring their anchors repeatedly.
-                    f, once = np.unique(f, return_index=True)
-                    at, c = at[once], c[once]
+                    place = np.unique(place)
+                    f, c = place >> 16, place & 255
+                    at = f + (place >> 8 & 255)
                     raw = text.tobytes()
                     runs += [raw[a : a + b + length - 1] for a, b in zip(f.tolist(), c.tolist(), strict=True)]
                     values = byte_values()[text[ranges(at, np.full(len(at), GRAM))]].reshape(-1, GRAM)
@@ -296,6 +299,14 @@ def _run_rows(n_shards: int, length: int):
     return run
 
 
+def lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """The rows of a list column of numbers as arrays; null rows are empty."""
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), 0
+    for n in column.value_lengths().fill_null(0).to_pylist():
+        yield flat[at : at + n]
+        at += n
+
+
 def _window_hashes(text: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all windows of runs that lie one after the other, run by run."""
     sizes = n + length - 1
@@ -348,15 +359,9 @@ def _duplicates(length: int):
                 i = j
         who, start, stop = (np.concatenate([f[k] for f in found]) for k in range(3))
         order = np.lexsort((start, who[:, 1], who[:, 0]))
-        who, start, stop = who[order], start[order].astype(np.uint32), stop[order].astype(np.uint32)
-        cuts = np.flatnonzero(np.append(True, (who[1:] != who[:-1]).any(1))) if len(who) else np.zeros(0, int)
-        ends = np.append(cuts[1:], len(who)) if len(who) else cuts
-        for k in range(0, len(cuts), 8192):
-            i, j = cuts[k : k + 8192], ends[k : k + 8192]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(who[i, 0]), pa.array(who[i, 1]), *[pa.array([v[a:b].tobytes() for a, b in zip(i, j, strict=True)], pa.binary()) for v in (start, stop)]],
-                names=["__id", "__hash", "start", "stop"],
-            )
+        for k in range(0, len(order), 50_000):
+            o = order[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(who[o, 0]), pa.array(who[o, 1]), pa.array(start[o].astype(np.int32)), pa.array(stop[o].astype(np.int32))], names=["__id", "__hash", "start", "stop"])
 
     return run
 
@@ -368,10 +373,9 @@ def _removal(length: int, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches):
             columns: list[list] = [[], [], [], []]
-            for i, (starts, stops) in enumerate(zip(batch.column("start").to_pylist(), batch.column("stop").to_pylist(), strict=True)):
+            for i, (starts, stops) in enumerate(zip(lists(batch.column("start")), lists(batch.column("stop")), strict=True)):
                 text = data[offsets[i] : offsets[i + 1]]
-                a, b = (np.frombuffer(b"".join(v or []), np.uint32).astype(np.int64) for v in (starts, stops))
-                a, b = merged_runs(a, b + length - 1)
+                a, b = merged_runs(starts.astype(np.int64), stops.astype(np.int64) + length - 1)
                 gone = int((b - a).sum())
                 raw = text.tobytes()
                 edges = [0, *np.stack([a, b], 1).ravel().tolist(), len(raw)]
@@ -410,9 +414,9 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, digest: bool = False) -
     texts = named.repartition(wide, "__id", "__hash")
     sent = named.select("__id", "__hash", "text").mapInArrow(_anchor_rows(shards(size, ANCHOR_SHARD), length), ANCHORS)
     again = sent.groupBy("shard").applyInArrow(_repeated, FOUND)
-    by_doc = again.repartition(wide, "__id", "__hash").groupBy("__id", "__hash").agg(*[F.collect_list(c).alias(c) for c in ("at", "first", "n")])
+    by_doc = again.repartition(wide, "__id", "__hash").groupBy("__id", "__hash").agg(F.collect_list("place").alias("place"))
     # __extra isn't needed here, but keeps the shuffle of the texts the same in both joins.
-    runs = texts.join(by_doc, ["__id", "__hash"]).select("__id", "__hash", "__extra", "text", "at", "first", "n").mapInArrow(_run_rows(shards(size, RUN_SHARD), length), RUNS)
+    runs = texts.join(by_doc, ["__id", "__hash"]).select("__id", "__hash", "__extra", "text", "place").mapInArrow(_run_rows(shards(size, RUN_SHARD), length), RUNS)
     found = runs.groupBy("shard").applyInArrow(_duplicates(length), DUPLICATES)
     gone = found.repartition(wide, "__id", "__hash").groupBy("__id", "__hash").agg(*[F.collect_list(c).alias(c) for c in ("start", "stop")])
     extra = named.schema["__extra"].dataType.simpleString()
