@@ -27,6 +27,8 @@ HEADLINE = (
     "subject_panel",
     "interval_mode",
     "abc_class",
+    "patient_agg",
+    "encode_categories",
     "predict_dataset",
     "train_dataset",
 )
