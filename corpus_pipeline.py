@@ -20,8 +20,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
-    return ngram_join.one_of_each(docs)
+    """Of each group of linked documents the one with the smallest id stays; five-word shingles, similarity of 0.8."""
+    return ngram_join.one_of_each(docs, percent=80, words=5)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

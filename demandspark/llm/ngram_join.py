@@ -133,7 +133,7 @@ SENT = "shard long, signatures binary, nodes binary, rows binary"
 MET = "doc_id long, n long, node binary, other binary"
 
 
-def _send(n_shards: int, percent: int):
+def _send(n_shards: int, percent: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(percent)
 
@@ -154,7 +154,7 @@ def _send(n_shards: int, percent: int):
 
         ids, sizes, names, found, size = [], [], [], {}, 0
         for batch, data, offsets in pieces(batches):
-            for i, tokens in zip(batch.column("__id").to_pylist(), shingle_sets(data, offsets), strict=True):
+            for i, tokens in zip(batch.column("__id").to_pylist(), shingle_sets(data, offsets, words), strict=True):
                 name = set_name(tokens)
                 ids.append(i), sizes.append(len(tokens)), names.append(name)
                 if len(tokens) and name not in found:
@@ -352,10 +352,10 @@ def join_sets(stored: list[np.ndarray], probes: list[np.ndarray] | None, percent
 SETS = "cluster binary, node binary, blocks int, block int, tokens binary"
 
 
-def _candidate_sets(blocks_of: int):
+def _candidate_sets(blocks_of: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches):
-            sets = shingle_sets(data, offsets)
+            sets = shingle_sets(data, offsets, words)
             names = [set_name(t) for t in sets]
             blocks = -(-batch.column("members").to_numpy() // blocks_of)
             block = [int.from_bytes(k[:4], "little") % b for k, b in zip(names, blocks.tolist(), strict=True)]
@@ -389,11 +389,11 @@ def _join_group(percent: int):
 # --- the operator --------------------------------------------------------------------------
 
 
-def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text)."""
+def link_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text); shingles have ``words`` words."""
     docs = renamed(docs, doc_id="doc_id", text="text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("__id"), "text")
     _, size = total_bytes(docs)
-    sent = docs.mapInArrow(_send(shards(size, SIGNATURE_SHARD), percent), SENT)
+    sent = docs.mapInArrow(_send(shards(size, SIGNATURE_SHARD), percent, words), SENT)
     met = stage(sent.groupBy("shard").applyInArrow(_meet, MET), "ngram-met")
     rows = met.where("doc_id is not null").select("doc_id", "n", "node")
     near = components(met.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
@@ -403,7 +403,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     chosen = stage(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("__id")).join(sized, "node").select("__id", F.col("root").alias("cluster"), "members"), "ngram-chosen")
     few = chosen.count() <= BROADCAST_ROWS
     picked = docs.join(F.broadcast(chosen) if few else chosen, "__id").select("text", "cluster", "members")
-    sets = picked.mapInArrow(_candidate_sets(BLOCK_SETS), SETS)
+    sets = picked.mapInArrow(_candidate_sets(BLOCK_SETS, words), SETS)
     pairs = F.concat(
         F.transform(F.sequence(F.lit(0), F.col("block")), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"))),
         F.filter(F.transform(F.sequence(F.col("block"), F.col("blocks") - 1), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"))), lambda p: p["j"] > F.col("block")),
@@ -421,7 +421,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The documents that are the first of their component; rows that repeat a doc_id stay together."""
-    first = link_documents(docs, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("__first")).distinct()
+    first = link_documents(docs, percent, words).where("doc_id <=> component_id").select(F.col("doc_id").alias("__first")).distinct()
     return docs.join(first, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
