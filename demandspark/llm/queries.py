@@ -82,6 +82,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.hard_negatives import mine, seventh_next
+
+    return mine(table(spark, sf_dir, "embeddings"), relabel=seventh_next)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -159,10 +166,30 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from docs left join hit using (doc_id) left join named using (doc_id)
 """
 
+_OP13 = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id as vec_id, b.label as label,
+    cast(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) as bigint) as score
+  from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where label <> anchor_label and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 5
+"""
+
 #: What needs a model or the tokenizer has no SQL; its tests hold it against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_dedup": _OP2,
     "op4_ngram_join": _OP4,
     "op8_chat": _OP8,
     "op10_decontaminate": _OP10,
+    "op13_hard_negatives": _OP13,
 }
