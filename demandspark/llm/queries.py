@@ -82,6 +82,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.spelling import group_variants
+
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandspark.llm.hard_negatives import mine, seventh_next
 
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op12_spelling": op12_spelling,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -166,6 +173,41 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from docs left join hit using (doc_id) left join named using (doc_id)
 """
 
+_OP12 = f"""
+with recursive steps(i, k, c) as (
+  select i, 0, i from range(256) t(i)
+  union all select i, k + 1, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end from steps where k < 8),
+crc as (select list(c order by i) as t from steps where k = 8),
+runs as (
+  select doc_id, r, count(*) as k from (select doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\u00C0-\u00FF]+')) as r from documents)
+  where length(r) >= 6 group by doc_id, r),
+hashed as (
+  select r, k, xor(list_reduce(
+    list_transform(range(octet_length(encode(doc_id || ':' || r))), lambda i: cast('0x' || substr(hex(encode(doc_id || ':' || r)), 2 * i + 1, 2) as bigint)),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) as h
+  from runs, crc),
+words as (
+  select w as word, cast(sum(k) as bigint) as n
+  from (select k, case when h % 199 = 0 then substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) else r end as w from hashed)
+  where length(w) >= 6 group by w having sum(k) >= 5),
+places as (select word, n, unnest(range(1, length(word) + 1)) as i from words),
+masks as (select word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) as m from places),
+cuts as (select distinct word, n, substr(word, 1, i - 1) || substr(word, i + 1) as m from places),
+near as (
+  select a.word, b.word as other, b.n as other_n from masks a join masks b on a.m = b.m and a.word <> b.word
+  union all select c.word, w.word, w.n from cuts c join words w on c.m = w.word
+  union all select w.word, c.word, c.n from cuts c join words w on c.m = w.word),
+best as (
+  select word, count(*) as n_near, max(other_n) as top, min(other) filter (other_n = most) as other
+  from (select *, max(other_n) over (partition by word) as most from near) group by word),
+forms as (
+  select word, n, case when top >= 5 * n then other end as form, case when top >= 5 * n then top end as form_n, coalesce(n_near, 0) as n_near
+  from words left join best using (word)),
+chain(word, at) as (select word, word from forms union all select c.word, f.form from chain c join forms f on f.word = c.at where f.form is not null)
+select f.word, f.form, c.at as root, f.n, f.n_near, f.form_n
+from forms f join chain c on c.word = f.word join forms e on e.word = c.at and e.form is null
+"""
+
 _OP13 = """
 with rows as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
@@ -191,5 +233,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_ngram_join": _OP4,
     "op8_chat": _OP8,
     "op10_decontaminate": _OP10,
+    "op12_spelling": _OP12,
     "op13_hard_negatives": _OP13,
 }
