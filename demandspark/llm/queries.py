@@ -82,6 +82,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandspark.llm.html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandspark.llm.spelling import group_variants
 
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op11_html": op11_html,
     "op12_spelling": op12_spelling,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -173,6 +180,21 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from docs left join hit using (doc_id) left join named using (doc_id)
 """
 
+# The given pages all have one article of headings, paragraphs, bold text and line breaks, and few character references.
+_OP11 = """
+with articles as (select page_id, url, regexp_extract(html, '<article>(.*)</article>', 1, 's') as a from pages),
+blocks as (
+  select page_id, i, regexp_replace(regexp_replace(regexp_replace(b, '</?b>', '', 'g'), '<br>', ' ', 'g'), '<[^>]*>', '', 'g') as b
+  from (select page_id, unnest(b) as b, unnest(range(len(b))) as i from (select page_id, regexp_split_to_array(coalesce(a, ''), '</?(?:h1|p)>') as b from articles))),
+texts as (
+  select page_id, i, trim(regexp_replace(
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as t
+  from blocks),
+joined as (select page_id, string_agg(t, ' ' order by i) as text from texts where t <> '' group by page_id)
+select page_id, url, coalesce(text, '') as text, cast(length(coalesce(text, '')) as bigint) as n_chars
+from pages left join joined using (page_id)
+"""
+
 _OP12 = f"""
 with recursive steps(i, k, c) as (
   select i, 0, i from range(256) t(i)
@@ -203,9 +225,9 @@ best as (
 forms as (
   select word, n, case when top >= 5 * n then other end as form, case when top >= 5 * n then top end as form_n, coalesce(n_near, 0) as n_near
   from words left join best using (word)),
-chain(word, at) as (select word, word from forms union all select c.word, f.form from chain c join forms f on f.word = c.at where f.form is not null)
-select f.word, f.form, c.at as root, f.n, f.n_near, f.form_n
-from forms f join chain c on c.word = f.word join forms e on e.word = c.at and e.form is null
+chain(word, up) as (select word, word from forms union all select c.word, f.form from chain c join forms f on f.word = c.up where f.form is not null)
+select f.word, f.form, c.up as root, f.n, f.n_near, f.form_n
+from forms f join chain c on c.word = f.word join forms e on e.word = c.up and e.form is null
 """
 
 _OP13 = """
@@ -233,6 +255,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_ngram_join": _OP4,
     "op8_chat": _OP8,
     "op10_decontaminate": _OP10,
+    "op11_html": _OP11,
     "op12_spelling": _OP12,
     "op13_hard_negatives": _OP13,
 }

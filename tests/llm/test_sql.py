@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_matches_sql(spark, key):
     con = duckdb.connect(config={"memory_limit": "8GB"})
-    for name in ("documents", "benchmark", "conversations", "embeddings"):
+    for name in ("documents", "benchmark", "conversations", "embeddings", "pages"):
         con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     want = con.execute(ORACLE_SQL[key])
     columns = [d[0] for d in want.description]
