@@ -1,13 +1,14 @@
 """N-gram Jaccard join: links between documents with almost the same word shingles.
 
-1. *Sets.*  A document's set holds the 64-bit hashes of its distinct shingles, in the
-   order of the hashes, which is the global order.  Equal sets become one node.
-2. *Candidates.*  Two linked sets differ in few shingles.  The hash range is cut into
-   more parts than that, so that they agree in one of them entirely.  Nodes meet by the
-   content of a part; an agreeing part links them for step 3, to one of the group only.
-   Sets meet within size classes, each in its own and the next one; the number of parts
-   follows from the class.  No linked pair is lost.
-3. *Join.*  Nodes that are connected so far form a cluster, and only these take part.
+1. *Sets.*  A document's set holds the 64-bit hashes of its distinct shingles.  Equal sets
+   become one node.  Shingles of many documents are counted beforehand: they are common.
+2. *Candidates.*  In the global order, which puts common shingles last and else follows the
+   hashes, two linked sets share a shingle of their beginnings: of n shingles, the first
+   n - ceil(n * percent / 100) + 1.  Nodes meet by these.  A pair that meets becomes a candidate
+   if its sizes allow a link and if its sketches (a bit each of 128 minima of hashes) agree in so
+   many bits that a linked pair fails once in 10^11 cases.  Within a group only pairs that are not
+   connected by others are compared.
+3. *Join.*  Nodes that candidates connect form a cluster, and only these take part.
    The sets of a cluster are stored in a prefix tree.  Every set walks down the tree:
    sets with a common beginning share the overlap counted so far, and a subtree is left
    as soon as the lengths that remain can't make up the overlap required, or as all of
@@ -23,6 +24,7 @@ only has a null id.  Rows that repeat a doc_id are judged one by one.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +39,13 @@ from demandspark.llm.graph import components
 WORDS = 3
 #: Two sets are linked if 100 * intersection >= PERCENT * union.
 PERCENT = 90
-GATHER_BYTES = 24 << 20
-SIGNATURE_SHARD = 24 << 20
+#: Text bytes whose sets a task handles at once, and bytes of beginnings that meet in a task.
+GATHER_BYTES = 8 << 20
+SHARD_BYTES = 24 << 20
+#: A shingle is common if it is in this share of the documents, and in this many.
+COMMON_SHARE, COMMON_LEAST = 0.001, 50
+#: Sketch bits, the odds of losing a linked pair, and group sizes up to which all pairs are compared at once.
+SKETCH, LOSS, SMALL_GROUP = 128, 1e-11, 24
 #: Sets of one cluster that a task joins with each other or with as many others.
 BLOCK_SETS = 4096
 #: Rows that may be broadcast: ids and clusters of candidates, some 40 bytes each.
@@ -83,117 +90,219 @@ def set_name(tokens: np.ndarray) -> bytes:
 # --- step 2: candidates --------------------------------------------------------------------
 
 
-class Classes:
-    """Size classes and, for each, the number of parts."""
+def count_locally(words: int):
+    """Task: shingles that several documents of a gather have, with their number."""
 
-    def __init__(self, percent: int = PERCENT) -> None:
-        self.percent, self.low, self.high = percent, [1], []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, size = [], 0
+
+        def counted():
+            tokens, n = np.unique(np.concatenate(sets), return_counts=True)
+            tokens, n = tokens[n > 1], n[n > 1]
+            return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], names=["token", "n"])
 
-    def of(self, n: int) -> int:
-        while not self.high or self.high[-1] < n:
-            low = self.low[len(self.high)]
-            self.high.append(100 * low // self.percent)
-            self.low.append(self.high[-1] + 1)
-        return int(np.searchsorted(self.high, n))
+        for _, data, offsets in pieces(batches):
+            sets += shingle_sets(data, offsets, words)
+            size += len(data)
+            if size >= GATHER_BYTES:
+                yield counted()
+                sets, size = [], 0
+        if sets:
+            yield counted()
 
-    def parts(self, c: int) -> tuple[int, int]:
-        """(parts, spare ones) of class c; no parts if linked sets are equal there."""
-        while len(self.high) <= c:
-            self.of(self.high[-1] + 1 if self.high else 1)
-        # |A| + |B| - 2 |A and B| for a linked pair is at most this share of |A| + |B|.
-        differ = 2 * self.high[c] * (100 - self.percent) // (100 + self.percent)
-        if not differ:
-            return 0, 0
-        spare = 1 + differ // 16
-        return differ + 1 + spare, spare
+    return run
 
 
-def signatures(tokens: np.ndarray, classes: Classes) -> np.ndarray:
-    """Hashes of the parts of a set, for its class and the next.
+def common_shingles(docs: DataFrame, n_docs: int, words: int) -> np.ndarray:
+    """The shingles of at least COMMON_SHARE of the documents, sorted.
 
-    Parts without a token are left out, unless there are more than the spare ones: then
-    agreeing parts need not have a token.
+    At most the shingles of 1 / COMMON_SHARE documents can be that common.  They only decide
+    the order: with any others all links are found as well, by larger groups.
     """
-    out, own = [], classes.of(len(tokens))
-    sums = np.concatenate([np.zeros(1, U64), np.cumsum(mix(tokens ^ BASE))])
-    top = (tokens >> U64(32)).astype(np.int64)
-    for c in (own, own + 1):
-        parts, spare = classes.parts(c)
-        if not parts:
-            continue
-        edge = np.searchsorted(top * parts >> 32, np.arange(parts + 1))
-        tag = mix(np.array([c], U64) * BASE + np.arange(1, parts + 1, dtype=U64))
-        full = edge[1:] > edge[:-1]
-        signature = mix(sums[edge[1:]] - sums[edge[:-1]] + tag)
-        out.append(signature if parts - full.sum() > spare else signature[full])
-    return np.concatenate(out) if out else np.zeros(0, U64)
-
-
-SENT = "shard long, signatures binary, nodes binary, rows binary"
-MET = "doc_id long, n long, node binary, other binary"
-
-
-def _send(n_shards: int, percent: int, words: int):
+    least = max(COMMON_LEAST, COMMON_SHARE * n_docs)
+    found = docs.mapInArrow(count_locally(words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return np.sort(found.select("token").toArrow()["token"].to_numpy().view(U64))
+
+
+def beginning(tokens: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of the set by which it meets others; common ones are the last in order."""
+    n = len(tokens) - -(-percent * len(tokens) // 100) + 1
+    if not len(common):
+        return tokens[:n]
+    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+    last = common[at] == tokens
+    rare = tokens[~last]
+    return rare[:n] if len(rare) >= n else np.concatenate([rare, tokens[last][: n - len(rare)]])
+
+
+def sketch_factors() -> np.ndarray:
+    """An odd multiplier for each bit of a sketch."""
+    return mix((np.arange(SKETCH, dtype=U64) + U64(7)) * BASE) | U64(1)
+
+
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Two words of bits for each set (none of them empty): a bit of the smallest product with each factor."""
+    out = np.zeros((len(sets), SKETCH), np.uint8)
+    factors, lo = sketch_factors(), 0
+    while lo < len(sets):
+        hi, size = lo, 0
+        while hi < len(sets) and (hi == lo or size + len(sets[hi]) <= 1 << 15):  # what a cache holds
+            size += len(sets[hi])
+            hi += 1
+        tokens = np.concatenate(sets[lo:hi])
+        starts = np.cumsum([0, *[len(s) for s in sets[lo : hi - 1]]])
+        product = np.empty_like(tokens)
+        for j, factor in enumerate(factors):
+            np.multiply(tokens, factor, out=product)
+            out[lo:hi, j] = mix(np.minimum.reduceat(product, starts)) & U64(1)
+        lo = hi
+    return np.packbits(out, axis=1).view(U64)
+
+
+def most_bits(percent: int) -> int:
+    """Bits in which the sketches of linked sets may differ, but for LOSS."""
+    p, tail = (100 - percent) / 200, 0.0
+    for k in range(SKETCH, -1, -1):
+        tail += math.comb(SKETCH, k) * p**k * (1 - p) ** (SKETCH - k)
+        if tail > LOSS:
+            return k
+    return 0
+
+
+def size_code(n: int) -> int:
+    return int(32 * math.log2(n))
+
+
+#: A shingle of the beginning, its node, the code of the set's size and its sketch.
+ENTRY = np.dtype([("token", "u4"), ("node", "u8"), ("size", "u2"), ("sketch", "u8", 2)])
+ROW = np.dtype([("id", "i8"), ("n", "i8"), ("k", "V16")])
+SENT = "shard long, entries binary, rows binary"
+#: Rows of documents (``a``: the half of the node's name that candidates use) and pairs of candidates.
+MET = "doc_id long, n long, node binary, a long, b long"
+
+
+def _send(n_shards: int, percent: int, words: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(percent)
-
-        def flush(ids, sizes, names, found):
-            # Equal sets of this task send their signatures once.
-            all_names = np.frombuffer(b"".join(names), np.dtype("V16"))
-            s = np.concatenate([x for x in found.values()] or [np.zeros(0, U64)])
-            v = np.repeat(np.frombuffer(b"".join(found), np.dtype("V16")), [len(x) for x in found.values()])
-            shard = (s >> U64(8)) % U64(n_shards)
-            order = np.argsort(shard, kind="stable")
-            cuts = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)) if len(order) else []
-            rows = [(int(shard[order[i]]), s[order[i:j]].tobytes(), v[order[i:j]].tobytes(), b"") for i, j in zip(cuts, np.append(cuts[1:], len(order)), strict=True)] if len(order) else []
-            record = np.zeros(len(ids), np.dtype([("id", "i8"), ("n", "i8"), ("k", "V16")]))
-            record["id"], record["n"], record["k"] = ids, sizes, all_names
-            rows.append((int(mix(np.array([len(ids) + int(ids[0])], U64))[0] % U64(n_shards)), b"", b"", record.tobytes()))
-            for k in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows[k : k + 64], strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["shard", "signatures", "nodes", "rows"])
-
-        ids, sizes, names, found, size = [], [], [], {}, 0
+        frequent = common.value
+
+        def flush(ids, sizes, names, sets):
+            # Equal sets of this gather are sent once.
+            record = np.zeros(len(ids), ROW)
+            record["id"], record["n"], record["k"] = ids, sizes, np.frombuffer(b"".join(names), np.dtype("V16"))
+            out = [(int(mix(np.array([len(ids) + int(ids[0])], U64))[0] % U64(n_shards)), b"", record.tobytes())]
+            if sets:
+                begins = [beginning(s, frequent, percent) for s in sets.values()]
+                counts = [len(x) for x in begins]
+                tokens = np.concatenate(begins)
+                entry = np.zeros(len(tokens), ENTRY)
+                mixed = mix(tokens)
+                entry["token"] = mixed >> U64(32)
+                entry["node"] = np.repeat(np.frombuffer(b"".join([k[:8] for k in sets]), U64), counts)
+                entry["size"] = np.repeat([size_code(len(s)) for s in sets.values()], counts)
+                entry["sketch"] = np.repeat(sketches(list(sets.values())), counts, axis=0)
+                shard = (mixed & U64(0xFFFFFFFF)) % U64(n_shards)
+                order = np.argsort(shard, kind="stable")
+                shard, entry = shard[order], entry[order]
+                cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+                out += [(int(shard[i]), entry[i:j].tobytes(), b"") for i, j in zip(cuts, np.append(cuts[1:], len(order)), strict=True)]
+            for k in range(0, len(out), 64):
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out[k : k + 64], strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["shard", "entries", "rows"])
+
+        ids, sizes, names, sets, size = [], [], [], {}, 0
         for batch, data, offsets in pieces(batches):
             for i, tokens in zip(batch.column("__id").to_pylist(), shingle_sets(data, offsets, words), strict=True):
                 name = set_name(tokens)
                 ids.append(i), sizes.append(len(tokens)), names.append(name)
-                if len(tokens) and name not in found:
-                    found[name] = signatures(tokens, classes)
+                if len(tokens):
+                    sets.setdefault(name, tokens)
             size += len(data)
             if size >= GATHER_BYTES or len(ids) >= 1 << 18:
-                yield from flush(ids, sizes, names, found)
-                ids, sizes, names, found, size = [], [], [], {}, 0
+                yield from flush(ids, sizes, names, sets)
+                ids, sizes, names, sets, size = [], [], [], {}, 0
         if ids:
-            yield from flush(ids, sizes, names, found)
+            yield from flush(ids, sizes, names, sets)
 
     return run
 
 
-def _meet(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows that came along, and each node's link to the first node with the same part."""
-    s, v = [], []
-    kind = np.dtype([("id", "i8"), ("n", "i8"), ("k", "V16")])
-    for batch in group:
-        for r in batch.select(["signatures", "nodes", "rows"]).to_pylist():
-            s.append(np.frombuffer(r["signatures"], U64))
-            v.append(np.frombuffer(r["nodes"], U64).reshape(-1, 2))
-            record = np.frombuffer(r["rows"], kind)
-            for k in range(0, len(record), 20_000):
-                part = record[k : k + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part["id"].copy()), pa.array(part["n"].copy()), pa.array([x.tobytes() for x in part["k"]], pa.binary()), pa.nulls(len(part), pa.binary())], names=["doc_id", "n", "node", "other"]
-                )
-    s, v = np.concatenate(s), np.concatenate(v)
-    order = np.lexsort((v[:, 1], v[:, 0], s))
-    s, v = s[order], v[order]
-    first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, int)
-    head = np.repeat(first, np.diff(np.append(first, len(s))))
-    differ = (v != v[head]).any(1)
-    pairs = np.unique(np.concatenate([v[head[differ]], v[differ]], 1), axis=0)
-    for k in range(0, len(pairs), 20_000):
-        p = np.ascontiguousarray(pairs[k : k + 20_000])
-        a, b = ([x.tobytes() for x in p[:, c]] for c in (slice(0, 2), slice(2, 4)))
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(p), pa.int64()), pa.nulls(len(p), pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["doc_id", "n", "node", "other"])
+def alike(sketch: np.ndarray, size: np.ndarray, bits: int, spread: int) -> list[tuple[int, int]]:
+    """Edges that connect what candidates connect in one group.
+
+    The first set is compared with all others, then the sets outside the largest part found so
+    far with all that they are not connected with: few, if the group consists of copies.
+    """
+    n = len(sketch)
+    label, edges, done = np.arange(n), [], np.zeros(n, bool)
+    while True:
+        names, where, counts = np.unique(label, return_inverse=True, return_counts=True)
+        open_ = np.flatnonzero((where != np.argmax(counts)) & ~done) if done.any() else np.zeros(1, np.int64)
+        if len(names) == 1 or not len(open_):
+            return edges
+        for i in open_[:64].tolist():
+            done[i] = True
+            other = np.flatnonzero((label != label[i]) & (np.abs(size - size[i]) <= spread))
+            near = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(1) <= bits]
+            _, first = np.unique(label[near], return_index=True)
+            for j in near[first].tolist():
+                edges.append((i, j))
+                label[label == label[j]] = label[i]
+
+
+def candidates(entry: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of nodes, as two columns, that connect the candidates of each shingle."""
+    bits, spread = most_bits(percent), math.ceil(32 * math.log2(100 / percent)) + 1
+    entry = entry[np.argsort(entry["token"], kind="stable")]
+    token, node, size, sketch = entry["token"], entry["node"].copy(), entry["size"].astype(np.int32), entry["sketch"].copy()
+    start = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+    count = np.diff(np.append(start, len(token)))
+    pairs = []
+    group = np.repeat(np.arange(len(start)), count)
+    small = np.flatnonzero(((count > 1) & (count <= SMALL_GROUP))[group]) if len(token) else start
+    for d in range(1, SMALL_GROUP):
+        a = small[small + d < len(token)]
+        a = a[group[a] == group[a + d]]
+        if not len(a):
+            break
+        b = a + d
+        keep = (node[a] != node[b]) & (np.abs(size[a] - size[b]) <= spread)
+        a, b = a[keep], b[keep]
+        keep = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1) <= bits
+        pairs.append(np.stack([node[a[keep]], node[b[keep]]], 1))
+    for s, c in zip(start[count > SMALL_GROUP].tolist(), count[count > SMALL_GROUP].tolist(), strict=True):
+        _, at = np.unique(node[s : s + c], return_index=True)
+        at += s
+        edges = alike(sketch[at], size[at], bits, spread)
+        if edges:
+            pairs.append(node[at[np.array(edges)]])
+    if not pairs:
+        return np.zeros((0, 2), U64)
+    pairs = np.sort(np.concatenate(pairs), axis=1)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return pairs[np.append(True, (pairs[1:] != pairs[:-1]).any(1))] if len(pairs) else pairs
+
+
+def _meet(percent: int):
+    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows that came along, and the candidates' pairs."""
+        entries = []
+        for batch in group:
+            for r in batch.select(["entries", "rows"]).to_pylist():
+                entries.append(np.frombuffer(r["entries"], ENTRY))
+                record = np.frombuffer(r["rows"], ROW)
+                for k in range(0, len(record), 20_000):
+                    part = record[k : k + 20_000]
+                    half = np.frombuffer(part["k"].tobytes(), np.int64)[::2]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part["id"].copy()), pa.array(part["n"].copy()), pa.array([x.tobytes() for x in part["k"]], pa.binary()), pa.array(half.copy()), pa.nulls(len(part), pa.int64())],
+                        names=["doc_id", "n", "node", "a", "b"],
+                    )
+        pairs = candidates(np.concatenate(entries), percent).view(np.int64)
+        for k in range(0, len(pairs), 20_000):
+            p = pairs[k : k + 20_000]
+            none = pa.nulls(len(p), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(p), pa.binary()), pa.array(p[:, 0]), pa.array(p[:, 1])], names=["doc_id", "n", "node", "a", "b"])
+
+    return run
 
 
 # --- step 3: prefix tree -------------------------------------------------------------------
@@ -349,7 +458,7 @@ def join_sets(stored: list[np.ndarray], probes: list[np.ndarray] | None, percent
     return links.edges
 
 
-SETS = "cluster binary, node binary, blocks int, block int, tokens binary"
+SETS = "cluster long, node binary, blocks int, block int, tokens binary"
 
 
 def _candidate_sets(blocks_of: int, words: int):
@@ -392,15 +501,18 @@ def _join_group(percent: int):
 def link_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text); shingles have ``words`` words."""
     docs = renamed(docs, doc_id="doc_id", text="text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("__id"), "text")
-    _, size = total_bytes(docs)
-    sent = docs.mapInArrow(_send(shards(size, SIGNATURE_SHARD), percent, words), SENT)
-    met = stage(sent.groupBy("shard").applyInArrow(_meet, MET), "ngram-met")
-    rows = met.where("doc_id is not null").select("doc_id", "n", "node")
-    near = components(met.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    members = near.unionByName(near.select("root").distinct().select(F.col("root").alias("node"), "root"))
+    n_docs, size = total_bytes(docs)
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, n_docs, words))
+    # a word of six bytes makes a shingle
+    sent = docs.mapInArrow(_send(shards(size * ENTRY.itemsize * (100 - percent) // 600, SHARD_BYTES), percent, words, common), SENT)
+    met = stage(sent.groupBy("shard").applyInArrow(_meet(percent), MET), "ngram-met")
+    rows = met.where("doc_id is not null").select("doc_id", "n", "node", F.col("a").alias("__near"))
+    near = components(met.where("b is not null").select("a", "b"))
+    members = near.unionByName(near.select("root").distinct().select(F.col("root").alias("node"), "root")).withColumnRenamed("node", "__near")
     sized = members.join(near.groupBy("root").agg((F.count("*") + 1).alias("members")), "root")
-    # One document stands for each set of a cluster.
-    chosen = stage(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("__id")).join(sized, "node").select("__id", F.col("root").alias("cluster"), "members"), "ngram-chosen")
+    # One document stands for each set of a cluster; candidates name a set by half of its name.
+    standing = rows.where("n > 0").groupBy("node", "__near").agg(F.min("doc_id").alias("__id"))
+    chosen = stage(standing.join(sized, "__near").select("__id", F.col("root").alias("cluster"), "members"), "ngram-chosen")
     few = chosen.count() <= BROADCAST_ROWS
     picked = docs.join(F.broadcast(chosen) if few else chosen, "__id").select("text", "cluster", "members")
     sets = picked.mapInArrow(_candidate_sets(BLOCK_SETS, words), SETS)

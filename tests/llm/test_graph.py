@@ -102,12 +102,12 @@ def test_dedup_edges(odd, none):
 # --- op 4 ----------------------------------------------------------------------------------
 
 
-def brute_components(rows, percent=90):
+def brute_components(rows, percent=90, words=3):
     lower = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
     sets = {}
     for i, text in rows:
         w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().translate(lower))
-        sets[i] = frozenset(tuple(w[k : k + 3]) for k in range(len(w) - 2)) if len(w) >= 3 else frozenset([tuple(w)] if w else [])
+        sets[i] = frozenset(tuple(w[k : k + words]) for k in range(len(w) - words + 1)) or frozenset([tuple(w)] if w else [])
     up = {i: i for i in sets}
 
     def root(x):
@@ -156,17 +156,64 @@ def test_links_of_groups_of_all_sizes(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(docs)
 
 
-def test_linked_sets_share_a_signature():
-    rng, classes = np.random.default_rng(6), ngram_join.Classes()
+@pytest.mark.parametrize("percent", [70, 80, 90])
+def test_linked_sets_meet_and_look_alike(percent):
+    """Beginnings of linked sets share a shingle, whatever is common; their sketches and sizes pass."""
+    rng, met = np.random.default_rng(6), 0
     for _ in range(1500):
-        n = int(rng.integers(9, 400))
+        n = int(rng.integers(2, 400))
         a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
-        drop = int(rng.integers(0, n // 9 + 1))
+        drop = int(rng.integers(0, n * (100 - percent) // percent + 1))
         b = np.delete(a, rng.permutation(len(a))[: drop // 2])
         b = np.unique(np.concatenate([b, rng.integers(0, 1 << 63, drop - drop // 2).astype(np.uint64)]))
+        common = np.sort(rng.choice(a, rng.integers(0, n + 1), replace=False))
         both = len(np.intersect1d(a, b))
-        if len(b) and a.tobytes() != b.tobytes() and 100 * both >= 90 * (len(a) + len(b) - both):
-            assert np.intersect1d(ngram_join.signatures(a, classes), ngram_join.signatures(b, classes)).size
+        if len(b) and a.tobytes() != b.tobytes() and 100 * both >= percent * (len(a) + len(b) - both):
+            met += 1
+            assert np.intersect1d(ngram_join.beginning(a, common, percent), ngram_join.beginning(b, common, percent)).size
+            x, y = ngram_join.sketches([a, b])
+            assert np.bitwise_count(x ^ y).sum() <= ngram_join.most_bits(percent)
+            assert abs(ngram_join.size_code(len(a)) - ngram_join.size_code(len(b))) <= np.ceil(32 * np.log2(100 / percent)) + 1
+    assert met > 500
+
+
+def test_groups_are_connected_as_all_pairs_would():
+    rng = np.random.default_rng(2)
+    for n in (30, 200):
+        centre = rng.integers(0, 1 << 63, (4, 2)).astype(np.uint64)
+        sketch = centre[rng.integers(0, 4, n)].copy()
+        for i in range(n):
+            for bit in rng.integers(0, 128, rng.integers(0, 12)):
+                sketch[i, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        size = rng.integers(0, 30, n)
+        for bits, spread in ((8, 12), (14, 100), (40, 3)):
+            up = list(range(n))
+
+            def root(x, up=up):
+                while up[x] != x:
+                    x = up[x]
+                return x
+
+            for i in range(n):
+                for j in range(i):
+                    if abs(size[i] - size[j]) <= spread and np.bitwise_count(sketch[i] ^ sketch[j]).sum() <= bits:
+                        up[max(root(i), root(j))] = min(root(i), root(j))
+            links = ngram_join.Links(n)
+            for i, j in ngram_join.alike(sketch, size, bits, spread):
+                links.join(i, j)
+            assert [links.root(i) for i in range(n)] == [root(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("least", [2, 10**9])
+def test_common_shingles_change_no_link(spark, monkeypatch, least):
+    """With nearly all shingles common, or none."""
+    monkeypatch.setattr(ngram_join, "COMMON_LEAST", least)
+    monkeypatch.setattr(ngram_join, "COMMON_SHARE", 0.0)
+    rng = np.random.default_rng(4)
+    texts = [t for words in (5, 20, 60) for t in _near_copies(rng, 40, words)]
+    docs = list(enumerate(texts))
+    got = ngram_join.link_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(docs)
 
 
 def test_prefix_tree_finds_exactly_the_links():
@@ -225,7 +272,7 @@ def test_stages_take_effect(spark):
         after = {r.doc_id: r.text for r in out.collect()}
         assert set(after) <= set(before)
         if name == "ngram_join":
-            linked = brute_components(before.items())
+            linked = brute_components(before.items(), 80, 5)
             assert set(after) == {i for i, (_, root) in linked.items() if root == i}
         if name == "suffix_dedup":
             rows = sorted(before.items())
