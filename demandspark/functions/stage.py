@@ -106,3 +106,35 @@ def running_totals(
     return null_safe(running, offsets, [*group, "__part"]).select(
         *group, order, *[(F.col(k) + F.col(f"__off_{k}")).alias(k) for k in totals]
     )
+
+
+def tie_totals(df: DataFrame, group: Sequence[str], value: str, cum: str, whole: str, spread: Sequence[str], name: str = "ranges") -> DataFrame:
+    """``df`` with the running total of ``value`` in its own ascending order within ``group`` (ties
+    share one), and the group's total.
+
+    Rows stay in range partitions of (group, value), and equal values are spread over partitions
+    by ``spread``, so that neither a group nor a common value has to fit a task.  Each partition
+    accumulates on its own.  What lies outside is added from a small table of one row per group
+    and partition: the totals of the partitions before, and for the largest value of a partition
+    the rows behind its border that have it too.  A NULL value has a NULL running total.
+    """
+    part, x = "__part", F.col(value)
+    ranged = stage(df.repartitionByRange(*group, value, F.xxhash64(*spread)).withColumn(part, F.spark_partition_id()), name)
+    here = Window.partitionBy(*group, part)
+    local = here.orderBy(x.asc_nulls_first()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ranged.groupBy(*group, part).agg(F.min(x).alias("__low"), F.max(x).alias("__high"), F.sum(x).alias("__sum"))
+    # rows of a partition's smallest value: what an earlier partition with that largest value lacks
+    lowest = null_safe(ranged.select(*group, part, value), ends.select(*group, part, "__low"), [*group, part])
+    lowest = lowest.where(x == F.col("__low")).groupBy(*group, part).agg(F.sum(x).alias("__at_low"))
+    borders = stage(null_safe(ends, lowest, [*group, part]), f"{name}-borders")
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    later = borders.where("__low is not null").select(*group, F.col(part).alias("__later"), F.col("__low").alias("__high"), "__at_low")
+    carried = null_safe(borders.where("__high is not null").select(*group, part, "__high"), later, [*group, "__high"]).where(F.col("__later") > F.col(part))
+    carried = carried.groupBy(*group, part).agg(F.sum("__at_low").alias("__carry"))
+    outside = null_safe(
+        borders.select(*group, part, "__high", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"), F.sum("__sum").over(Window.partitionBy(*group)).alias(whole)), carried, [*group, part]
+    )
+    rows = null_safe(ranged.withColumn(cum, F.sum(x).over(local)), outside, [*group, part])
+    carry = F.when(x == F.col("__high"), F.coalesce("__carry", F.lit(0))).otherwise(F.lit(0))
+    total = F.when(x.isNotNull(), F.col(cum) + F.col("__before") + carry)
+    return rows.select(*df.columns, total.alias(cum), whole)

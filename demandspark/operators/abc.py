@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandspark.config import DemandConfig
 from demandspark.functions.scalar import safe_ratio
-from demandspark.functions.stage import running_totals, stage
+from demandspark.functions.stage import stage, tie_totals
 
 
 def trailing_sum(panel: DataFrame, cfg: DemandConfig) -> DataFrame:
@@ -29,39 +29,17 @@ def trailing_sum(panel: DataFrame, cfg: DemandConfig) -> DataFrame:
 def _daily_share(df: DataFrame, cfg: DemandConfig) -> DataFrame:
     """Cumulative shares within a day over all pairs.
 
-    A day holds every pair, so it is never gathered: equal values are combined
-    first, running totals go through range partitions, and the shares join back
-    on (day, value).
+    A day holds every pair, and very many of them may have one value, so neither is
+    gathered: see ``tie_totals``.
     """
-    day = cfg.day
-    metrics = ("sum_total_dose", "count_prescription")
-    values = (
-        df.select(
-            day,
-            F.explode(
-                F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x")) for m in metrics])
-            ).alias("v"),
-        )
-        .groupBy(day, "v.metric", "v.x")
-        .agg(F.sum("v.x").alias("part"))
-    )
-    running = running_totals(values, [day, "metric"], "x", {"cum": F.col("part")}, "abc")
-    whole = values.groupBy(day, "metric").agg(F.sum("part").alias("whole"))
-    shares = running.join(whole, [day, "metric"]).select(
-        day, "metric", "x", safe_ratio(F.col("cum"), F.col("whole")).alias("share")
-    )
     out = df
-    for m, name in zip(metrics, ("total_dose_rank_by_yj", "count_rank_by_yj")):
-        part = shares.filter(F.col("metric") == m).select(F.col(day), F.col("x").alias("__x"), F.col("share").alias(name))
-        out = out.withColumn("__x", F.col(m).cast("double")).join(part, [day, "__x"], "left").drop("__x")
-    totals = whole.groupBy(day).pivot("metric", list(metrics)).agg(F.first("whole"))
-    totals = totals.select(day, *[F.col(m).alias(f"__whole_{m}") for m in metrics])
-    out = out.join(totals, day, "left")
-    # a NULL value has a NULL running total: its share is NULL unless the day's total is 0
-    for m, name in zip(metrics, ("total_dose_rank_by_yj", "count_rank_by_yj")):
-        empty = F.coalesce(F.col(f"__whole_{m}") != 0, F.lit(False))
-        out = out.withColumn(name, F.when(empty, F.col(name)).otherwise(F.lit(0.0)))
-    return out.drop(*[f"__whole_{m}" for m in metrics])
+    for metric, share in (("sum_total_dose", "total_dose_rank_by_yj"), ("count_prescription", "count_rank_by_yj")):
+        value = F.col(metric).cast("double")
+        out = tie_totals(out.withColumn("__x", value), [cfg.day], "__x", "__cum", "__whole", cfg.pair, "abc")
+        # a NULL value has a NULL running total: its share is NULL unless the day's total is 0
+        part = F.when(F.coalesce(F.col("__whole") != 0, F.lit(False)), F.col("__cum") / F.col("__whole")).otherwise(F.lit(0.0))
+        out = out.withColumn(share, part).drop("__x", "__cum", "__whole")
+    return out
 
 
 def cum_share(df: DataFrame, cfg: DemandConfig) -> DataFrame:
