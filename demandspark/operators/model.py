@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.stage import running_totals, stage
+from demandspark.operators.boost import Boosted, BoostParams, fit_phases, gain_importance
 
 # Fixed replacement values for categories not shared by train and valid.
 OTHER_TEXT = "other"
@@ -77,27 +75,39 @@ def fit_encoder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+#: Rows of a column's dictionary that may be broadcast: a value and a code, some 100 bytes each.
+BROADCAST_ROWS = 100_000
+
+
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """Append ``<column>_code``; NULL and unknown values take the replacement's code."""
+    """Append ``<column>_code``; NULL and unknown values take the replacement's code.
+
+    Columns whose dictionary is small look their codes up in a broadcast table, so that the rows
+    are not shuffled.  The others share one join: their values are exploded, meet the
+    dictionary by (feature, value), and come back to their row by its key.
+    """
+    encoder = stage(
+        encoder.filter(F.col("feature").isin(*columns)).select("feature", F.coalesce("text", F.col("number").cast("string")).alias("__v"), "code", "text", "number"), "encoder"
+    )
+    fallback = encoder.filter((F.col("text") == OTHER_TEXT) | (F.col("number") == float(OTHER_NUMBER)))
+    other = {r["feature"]: r["code"] for r in fallback.select("feature", "code").collect()}  # one a column
+    sizes = {r["feature"]: r["count"] for r in encoder.groupBy("feature").count().collect()}
+    small = [c for c in columns if sizes.get(c, 0) <= BROADCAST_ROWS]
+    large = [c for c in columns if c not in small]
+    key = lambda c: (F.col(f"`{c}`").cast("double") if _is_numeric(df, c) else F.col(f"`{c}`")).cast("string")
     out = df
-    fallback = encoder.filter(
-        (F.col("text") == OTHER_TEXT) | (F.col("number") == float(OTHER_NUMBER))
-    ).select("feature", "code")
-    other = {r["feature"]: r["code"] for r in fallback.filter(F.col("feature").isin(*columns)).collect()}
-    # NULLs get scattered keys that match no category, so they never share a task
-    scatter = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*df.columns[:3]), F.lit(997)).cast("string"))
-    for c in columns:
-        value = F.col(c).cast("double") if _is_numeric(df, c) else F.col(c)
-        codes = encoder.filter(F.col("feature") == c).select(
-            F.coalesce("text", F.col("number").cast("string")).alias("__v"), F.col("code").alias(c + suffix)
-        )
-        out = (
-            out.withColumn("__v", F.coalesce(value.cast("string"), scatter))
-            .join(codes, "__v", "left")
-            .drop("__v")
-            .withColumn(c + suffix, F.coalesce(c + suffix, F.lit(other[c])).cast("long"))
-        )
-    return out
+    for c in small:
+        codes = encoder.filter(F.col("feature") == c).select(F.col("__v").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}"))
+        out = out.join(F.broadcast(codes), key(c) == F.col(f"__v_{c}"), "left").drop(f"__v_{c}")
+    if large:
+        out = stage(out.withColumn("__row", F.monotonically_increasing_id()), "to-encode")
+        values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), key(c).alias("__v")) for c in large])).alias("x")
+        # NULLs have no code; they would only meet in one task
+        found = out.select("__row", values).select("__row", "x.*").where("__v is not null").join(encoder.select("feature", "__v", "code"), ["feature", "__v"])
+        wide = found.groupBy("__row").agg(*[F.max(F.when(F.col("feature") == c, F.col("code"))).alias(f"__code_{c}") for c in large])
+        out = out.join(wide, "__row", "left").drop("__row")
+    codes = {c + suffix: F.coalesce(f"__code_{c}", F.lit(other[c])).cast("long") for c in columns}
+    return out.withColumns(codes).drop(*[f"__code_{c}" for c in columns])
 
 
 def encode_categories(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
@@ -105,126 +115,53 @@ def encode_categories(df: DataFrame, columns: Sequence[str], suffix: str = "_cod
     return apply_encoder(df, fit_encoder(df, columns), columns, suffix)
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    """Boosting settings under their Spark names; defaults are the published ones.
-
-    Fitting stops when ``patience`` rounds have not improved the validation error.
-    """
-
-    max_iter: int = 100_000
-    patience: int = 200
-    step: float = 0.01
-    depth: int = 8
-    bins: int = 256
-    min_rows: int = 10
-    row_fraction: float = 0.5
-    feature_fraction: str = "0.5"
-    seed: int = 777
-    missing: float = -1.0e9
-
-    def regressor(self, label: str, rounds: int | None = None) -> GBTRegressor:
-        return GBTRegressor(
-            featuresCol="features",
-            labelCol=label,
-            predictionCol="predicted_total_dose",
-            maxIter=rounds or self.max_iter,
-            stepSize=self.step,
-            maxDepth=self.depth,
-            maxBins=self.bins,
-            minInstancesPerNode=self.min_rows,
-            subsamplingRate=self.row_fraction,
-            featureSubsetStrategy=self.feature_fraction,
-            seed=self.seed,
-        )
-
-
-def _features(columns: Sequence[str], missing: float) -> list:
-    """NULLs become a value below every feature, so a tree can split them off."""
-    filled = ", ".join(f"coalesce(cast(`{c}` as double), {missing!r}D) as `__x_{c}`" for c in columns)
-    return [
-        SQLTransformer(statement=f"select *, {filled} from __THIS__"),
-        VectorAssembler(inputCols=[f"__x_{c}" for c in columns], outputCol="features"),
-    ]
-
-
 @dataclass(frozen=True)
 class Fit:
-    model: PipelineModel
-    rounds: int
-    columns: tuple[str, ...]
-
+    """A model, the features it was given, and the rounds that the validation split chose."""
 
-def stopped(errors: Sequence[float], patience: int) -> tuple[int, bool]:
-    """The best round so far, from 1, and whether ``patience`` rounds after it brought nothing better."""
-    best = 0
-    for i, e in enumerate(errors):
-        if e < errors[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
+    model: Boosted
+    columns: tuple[str, ...]
+    best: int
 
+    @property
+    def rounds(self) -> int:
+        return self.model.rounds
 
-def best_rounds(train: DataFrame, valid: DataFrame, features: Sequence[str], label: str, params: BoostParams) -> int:
-    """Rounds after which the validation error is best, by a patience rule.
 
-    Boosting can't be resumed, so that a fit that has not stopped is repeated with
-    twice the rounds; all in all that is less than twice the last fit.
-    """
-    prepare = Pipeline(stages=_features(features, params.missing)).fit(train)
-    fitted, checked = prepare.transform(train).select(label, "features"), prepare.transform(valid).select(label, "features")
-    if checked.isEmpty():
-        return params.patience
-    rounds = min(params.max_iter, 2 * params.patience)
-    while True:
-        model = params.regressor(label, rounds).fit(fitted)
-        best, done = stopped(model.evaluateEachIteration(checked, "squared"), params.patience)
-        if done or rounds >= params.max_iter:
-            return best
-        rounds = min(params.max_iter, 2 * rounds)
-
-
-def fit_two_phase(df: DataFrame, features: Sequence[str], label: str, params: BoostParams | None = None) -> Fit:
+def fit_two_phase(
+    df: DataFrame, features: Sequence[str], label: str, params: BoostParams | None = None, categories: Sequence[str] = (), path: str | None = None
+) -> Fit:
     """Find the number of rounds on the valid split, then refit on everything
     but the test split with rounds scaled by the row ratio.
 
-    Rows between the splits (NULL flag) belong to the second fit only.
+    Rows between the splits (NULL flag) belong to the second fit only.  ``categories`` are the
+    features that are codes of categories.  A fit under a ``path`` that was interrupted goes on.
     """
-    params = params or BoostParams()
     rest = df.filter(F.coalesce(F.col("split_flag") != "test", F.lit(True)))
-    best = best_rounds(split(rest, "train"), split(rest, "valid"), features, label, params)
-    sizes = rest.agg(
-        F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("split_flag") == "train", 1)).alias("train")
-    ).head()
-    rounds = max(1, int(best * sizes["all"] / max(1, sizes["train"])))
-    final = Pipeline(stages=[*_features(features, params.missing), params.regressor(label, rounds)]).fit(rest)
-    return Fit(final, rounds, tuple(features))
+    model, best = fit_phases(rest, features, categories, label, params or BoostParams(), path)
+    return Fit(model, tuple(features), best)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: Boosted, df: DataFrame) -> DataFrame:
     """Append the prediction; the original columns stay untouched."""
-    keep = df.columns
-    return model.transform(df).select(*keep, "predicted_total_dose")
+    return model.transform(df)
 
 
 def save_fit(fit: Fit, encoder: DataFrame, path: str) -> None:
-    """Write the encoder table and the fitted pipeline under ``path``."""
+    """Write the encoder table and the fitted model under ``path``."""
     encoder.write.mode("overwrite").parquet(f"{path}/encoder")
-    fit.model.write().overwrite().save(f"{path}/model")
+    fit.model.save(encoder.sparkSession, f"{path}/model")
 
 
-def load_fit(spark: SparkSession, path: str) -> tuple[DataFrame, PipelineModel]:
-    return spark.read.parquet(f"{path}/encoder"), PipelineModel.load(f"{path}/model")
+def load_fit(spark: SparkSession, path: str) -> tuple[DataFrame, Boosted]:
+    return spark.read.parquet(f"{path}/encoder"), Boosted.load(spark, f"{path}/model")
 
 
 def feature_importance(fit: Fit, spark: SparkSession) -> DataFrame:
-    """Importance per feature, descending."""
-    values = fit.model.stages[-1].featureImportances.toArray()
-    rows = [(c, float(v)) for c, v in zip(fit.columns, values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.col("importance").desc(), "feature"
-    )
+    """Total gain per feature, descending; 0 for features without a split."""
+    every = spark.createDataFrame([(c,) for c in fit.columns], "feature string")
+    gains = gain_importance(fit.model.nodes(spark))
+    return every.join(gains, "feature", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance")).orderBy(F.col("importance").desc(), "feature")
 
 
 def regression_metrics(

@@ -148,7 +148,8 @@ def train_model(
     coded = stage(M.apply_encoder(dataset, encoder, categories), "encoded")
     targets = {spec.column, "tanni_suryo", *UNSEEN_TARGETS}
     numeric = numeric_features(dataset, targets)
-    fit = M.fit_two_phase(coded, [*numeric, *[f"{c}_code" for c in categories]], spec.column, params)
+    codes = [f"{c}_code" for c in categories]
+    fit = M.fit_two_phase(coded, [*numeric, *codes], spec.column, params, codes)
     M.save_fit(fit, encoder, path)
     scored = stage(M.score(fit.model, M.split(coded, "test")), "scored")
     back = "lag_total_dose_by_yj_store" if label == "diff" else None
