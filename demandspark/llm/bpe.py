@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import per_worker, pieces, ranges, renamed, with_fields, word_hashes
+from demandspark.llm.common import per_worker, pieces, ranges, renamed, replacing, with_fields, word_hashes
 
 #: The pre-tokenizer's pattern of this file format (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -312,7 +312,7 @@ def _coded(docs: DataFrame, path: str | None, kept: list[str], fields: str, fini
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` with ``ids`` (array<int>), n_tokens and the text decoded from the ids."""
+    """``docs`` with ``ids`` (array<int>), n_tokens and the text decoded from the ids; these replace columns of the same names."""
 
     def finish(ids, decode):
         return {
@@ -321,7 +321,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             "decoded": pa.array([decode(i).decode() for i in ids], pa.string()),
         }
 
-    return _coded(docs, path, docs.columns, "ids array<int>, n_tokens long, decoded string", finish)
+    fields = "ids array<int>, n_tokens long, decoded string"
+    docs = replacing(docs, fields)
+    return _coded(docs, path, docs.columns, fields, finish)
 
 
 def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:

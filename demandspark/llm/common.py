@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
+def replacing(df: DataFrame, fields: str) -> DataFrame:
+    """``df`` without the columns that results of a DDL string will replace."""
+    new = {f.name.lower() for f in T.StructType.fromDDL(fields)}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in new])
+
+
 def with_fields(schema: T.StructType, fields: str) -> T.StructType:
     """``schema`` and the fields of a DDL string, of which none may be there already."""
     new = T.StructType.fromDDL(fields)
@@ -97,6 +104,26 @@ def per_worker(key, make: Callable):
     return kept["value"]
 
 
+class Shared:
+    """A broadcast object that travels by value, so that executors need no copy of the library."""
+
+    def __init__(self, spark: SparkSession, value) -> None:
+        self.sent, self.kept = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    @property
+    def value(self):
+        if self.kept is None:
+            self.kept = cloudpickle.loads(self.sent.value)
+        return self.kept
+
+    def __getstate__(self) -> dict:
+        return {"sent": self.sent, "kept": None}
+
+
+def shared(spark: SparkSession, value) -> Shared:
+    return Shared(spark, value)
+
+
 # --- hashes --------------------------------------------------------------------------------
 
 
@@ -175,17 +202,30 @@ def word_bounds(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+#: Words of up to this many bytes are hashed byte by byte, all at once; longer ones by pieces.
+LONG_WORD = 64
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes; words of one length block are folded together."""
+    """A 64-bit hash of each word's bytes; words of one length block are folded together.
+
+    The hash is a polynomial in BASE.  A long word's polynomial is a sum over its bytes with
+    their powers, so that no step is made byte by byte.
+    """
     lengths = ends - starts
     out = np.zeros(len(starts), U64)
     if not len(starts):
         return out
     values, k = byte_values(), 0
-    order = np.argsort(-lengths, kind="stable")
+    long = np.flatnonzero(lengths > LONG_WORD)
+    for i in long.tolist():
+        part = values[data[starts[i] : ends[i]]]
+        out[i] = (part * powers(len(part))[::-1]).sum(dtype=U64)
+    short = np.flatnonzero(lengths <= LONG_WORD)
+    order = short[np.argsort(-lengths[short], kind="stable")]
     by_length, at = lengths[order], starts[order]
-    sorted_out = np.zeros(len(starts), U64)
-    live = len(starts)
+    sorted_out = np.zeros(len(order), U64)
+    live = len(order)
     while live:
         sorted_out[:live] = sorted_out[:live] * BASE + values[data[at[:live] + k]]
         k += 1
@@ -194,6 +234,17 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
+def powers(n: int) -> np.ndarray:
+    """BASE to the 0, 1, ... n - 1, wrapping, by doubling."""
+    out = np.ones(n, U64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * power(done)
+        done += more
+    return out
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, ... of all the runs, one after the other."""
     counts = np.asarray(counts, np.int64)

@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import (
-    BASE, U64, class_table, lower_table, mix, pieces, ranges, renamed, shards, text_bytes, total_bytes, with_fields, word_bounds, word_hashes,
+    BASE, U64, class_table, lower_table, mix, pieces, ranges, renamed, replacing, shards, text_bytes, total_bytes, with_fields, word_bounds, word_hashes,
 )
 
 WINDOW = 13
 #: Benchmark text that one pass over the documents carries along.
 BLOCK_BYTES = 16 << 20
-#: Words of a suffix that order the array; fewer if an item is shorter.
+#: Words of a suffix that order the array; items of fewer words are looked up as a whole.
 KEY_WORDS = 4
 
 
@@ -48,6 +48,8 @@ class Tests:
     need: np.ndarray
     item: np.ndarray
     names: list[str]
+    #: Items of fewer than q words: by length and hash of the whole text, their names.
+    short: dict[int, dict[int, list[str]]]
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,21 +72,41 @@ def test_suffixes(names: list[str], texts: list[str | None], window: int = WINDO
     lengths = np.diff(first)
     if not lengths.any():
         return None
-    q = int(min(KEY_WORDS, window, lengths[lengths > 0].min()))
+    q = min(KEY_WORDS, window)
     item = np.repeat(np.arange(len(names)), lengths)
     left = np.repeat(first[1:], lengths) - np.arange(len(words))
     need = np.repeat(np.minimum(lengths, window), lengths)
-    # A suffix of fewer than q words is part of a longer match and needs no lookup.
+    # Items of fewer than q words are looked up whole; else a suffix of fewer is part of a longer match.
+    short: dict[int, dict[int, list[str]]] = {}
+    for i in np.flatnonzero((lengths > 0) & (lengths < q)).tolist():
+        m = int(lengths[i])
+        key = int(_suffix_keys(words[first[i] : first[i] + m], m)[0])
+        short.setdefault(m, {}).setdefault(key, []).append(names[i])
     at = np.flatnonzero(left >= q)
     key = _suffix_keys(words, q)[at]
     order = np.argsort(key, kind="stable")
     at = at[order]
-    return Tests(q, words, key[order], at, left[at], need[at], item[at], names)
+    return Tests(q, words, key[order], at, left[at], need[at], item[at], names, short)
+
+
+def match_short(words: np.ndarray, first: np.ndarray, tests: Tests) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[list[str]], np.ndarray]]:
+    """For each length of short items: length, word positions, rows, the names of each text found, and which text is where."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    left = first[1:][row] - np.arange(len(words)) if len(words) else np.zeros(0, np.int64)
+    for m, items in sorted(tests.short.items()):
+        known = np.array(sorted(items), U64)
+        key = _suffix_keys(words, m)
+        which = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        p = np.flatnonzero((left >= m) & (known[which] == key))
+        yield m, p, row[p], [items[int(k)] for k in known], which[p]
 
 
 def match_piece(words: np.ndarray, first: np.ndarray, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All (word position, row, test suffix, length in words) of longest matches of at least q words."""
     n = len(words)
+    if not len(tests.key):
+        z = np.zeros(0, np.int64)
+        return z, z, z, z
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     left = first[1:][row] - np.arange(n) if n else np.zeros(0, np.int64)
     key = _suffix_keys(words, tests.q)
@@ -141,6 +163,14 @@ def scanner(tests: Tests | None, kept: list[str], later: bool):
                 np.add.at(steps, p + tests.need[t], -1)
                 for i, j in np.unique(np.stack([r, tests.item[t]], 1), axis=0):
                     items[i].add(tests.names[j])
+                for m, p, r, known, which in match_short(words, first, tests):
+                    np.add.at(steps, p, 1)
+                    np.add.at(steps, p + m, -1)
+                    pairs, at = np.unique(np.stack([r, which], 1), axis=0, return_index=True)
+                    for (i, k), a in zip(pairs.tolist(), at.tolist(), strict=True):
+                        items[i].update(known[k])
+                        if m > longest[i]:
+                            longest[i], place[i], name[i] = m, p[a] - first[i], min(known[k])
             covered = np.cumsum(steps[:-1]) > 0
             bits = [np.packbits(covered[first[i] : first[i + 1]]) if items[i] else None for i in range(rows)]
             if later:
@@ -174,11 +204,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     ``docs`` needs ``text``; ``benchmark`` has ``item_id`` and ``text``.  A document is
     contaminated if it has a hit and ``share * n_hit >= n_words``.  longest_match is the
-    length in words of the longest verbatim match with any item (0 below the key length),
-    longest_at its first word (-1: none) and longest_item its item.
+    length in words of the longest verbatim match with any item (0 below the key length, unless
+    it is a whole item), longest_at its first word (-1: none) and longest_item its item.
     """
     tests = renamed(benchmark, item_id="item_id", text="text").select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
     blocks = shards(total_bytes(tests)[1], block_bytes)
+    docs = replacing(docs, f"{STATE}, contaminated boolean")
     schema, out = with_fields(docs.schema, STATE), docs
     for b in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()  # about block_bytes
@@ -189,7 +220,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without its contaminated rows."""
-    return find_contamination(docs, benchmark, **options).where(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")  # its columns may have the results' names
+    return find_contamination(packed, benchmark, **options).where(~F.col("contaminated")).select("__row.*")
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import held_out, pieces, ranges, renamed, with_fields
+from demandspark.llm.common import held_out, pieces, ranges, renamed, replacing, shared, with_fields
 from demandspark.llm.toxicity import labelled_sample
 
 HIDDEN = 8
@@ -219,11 +219,13 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:
-    """``docs`` with lang_pred and score."""
-    names, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(net)
+    """``docs`` with lang_pred and score, which replace columns of these names."""
+    fields = "lang_pred string, score double"
+    docs = replacing(docs, fields)
+    names, sent = docs.columns, shared(docs.sparkSession, net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
+        net = sent.value
         for batch, data, offsets in pieces(batches):
             known = has_letter(data, offsets) if net is not None else np.zeros(batch.num_rows, bool)
             p = net.pooled(data, offsets) if net is not None else np.zeros((batch.num_rows, 1))
@@ -232,7 +234,7 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
             score = np.where(known, np.clip(p[np.arange(len(p)), best], 0, 1), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(languages, pa.string()), pa.array(score, pa.float64())], names=[*names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, with_fields(docs.schema, "lang_pred string, score double"))
+    return docs.mapInArrow(run, with_fields(docs.schema, fields))
 
 
 def language_digest(docs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import U64, byte_values, held_out, mix, pieces, renamed, rolling, text_bytes, with_fields
+from demandspark.llm.common import U64, byte_values, held_out, mix, pieces, renamed, replacing, rolling, shared, text_bytes, with_fields
 from demandspark.llm.toxicity import labelled_sample
 
 ORDER = 4
@@ -128,18 +128,20 @@ def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_ROWS) -> Ordi
 
 
 def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
-    """``docs`` with expected_grade and, per grade above the lowest, the probability of reaching it."""
-    names, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
+    """``docs`` with expected_grade and, per grade above the lowest, the probability of reaching it; these replace columns of the same names."""
+    fields = "expected_grade double, reach array<double>"
+    docs = replacing(docs, fields)
+    names, sent = docs.columns, shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = sent.value
         for batch, data, offsets in pieces(batches):
             reach = model.reach(model.scores(data, offsets))
             expected = model.grades[0] + reach @ np.diff(model.grades)
             tails = pa.array(list(reach), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(expected, pa.float64()), tails], names=[*names, "expected_grade", "reach"])
 
-    return docs.mapInArrow(run, with_fields(docs.schema, "expected_grade double, reach array<double>"))
+    return docs.mapInArrow(run, with_fields(docs.schema, fields))
 
 
 def tail_probability(model: Ordinal, least: float) -> Column:

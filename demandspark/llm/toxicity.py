@@ -2,7 +2,7 @@
 
 Features are hashed n-grams of the UTF-8 bytes of the lower-cased text; a feature is
 present or not.  From the labelled rows come the smoothed log-count ratios r of the
-features; those whose ratio is far from zero are kept and a logistic regression on
+features; those whose ratio is far from zero and that are not rare are kept and a logistic regression on
 r * presence is trained on them.  Scoring looks up the kept features of whole texts.
 
 The classifier is fitted on a bounded sample of labelled rows (``max_rows`` of each
@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import U64, byte_values, held_out, lower_table, mix, pieces, ranges, renamed, rolling, text_bytes, with_fields
+from demandspark.llm.common import U64, byte_values, held_out, lower_table, mix, pieces, ranges, renamed, replacing, rolling, shared, text_bytes, with_fields
 
-ORDERS = (4, 5, 6)
+ORDERS = (5, 6, 7)
+#: A feature must be in this share of the rows of the rarer label, and in this many rows.
+LEAST_SHARE, LEAST_ROWS = 0.025, 3
 BITS = 20
 MAX_ROWS = 1500
 
@@ -78,7 +80,7 @@ def _blocks(texts: list[str], size: int = 256) -> Iterator[tuple[int, np.ndarray
         yield i, *text_bytes(pa.array(texts[i : i + size], pa.string()))
 
 
-def fit(texts: list[str], labels: np.ndarray, smooth: float = 1.0, least_ratio: float = 2.0, least_rows: int = 3, penalty: float = 1e-4, steps: int = 150) -> Toxicity:
+def fit(texts: list[str], labels: np.ndarray, smooth: float = 1.0, least_ratio: float = 2.0, least_share: float = LEAST_SHARE, penalty: float = 1e-4, steps: int = 150) -> Toxicity:
     """Log-count ratios, the choice of features and the regression, on the sample."""
     labels = np.asarray(labels, np.float64)
     n1, n0 = labels.sum(), (1 - labels).sum()
@@ -93,7 +95,7 @@ def fit(texts: list[str], labels: np.ndarray, smooth: float = 1.0, least_ratio:
             counts[y] += np.bincount(feature[labels[i + row] == y], minlength=1 << BITS)
     p, q = (counts[1] + smooth) / (n1 + 2 * smooth), (counts[0] + smooth) / (n0 + 2 * smooth)
     ratio = np.log(p / q)
-    wanted = (np.abs(ratio) >= least_ratio) & (counts.sum(0) >= least_rows)
+    wanted = (np.abs(ratio) >= least_ratio) & (counts.sum(0) >= max(LEAST_ROWS, least_share * min(n1, n0)))
     rows, features = [], []
     for i, data, offsets in _blocks(texts):
         row, feature = present(data, offsets, wanted)
@@ -118,13 +120,22 @@ def fit(texts: list[str], labels: np.ndarray, smooth: float = 1.0, least_ratio:
     return Toxicity(weights, float(b))
 
 
+#: Bytes of a text that a sample may hold; longer ones are not learned from.
+LONGEST = 1 << 17
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> tuple[list[str], np.ndarray]:
-    """At most ``max_rows`` texts of each label of the rows that are not held out, in the order of a hash."""
-    known = renamed(labels, doc_id="doc_id", label=label).where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
+    """At most ``max_rows`` texts of each label of the rows that are not held out, in the order of a hash.
+
+    Rows that repeat a doc_id give one text for each of its labels, the smallest, so that the
+    sample is bounded by max_rows * LONGEST bytes a label.
+    """
+    known = renamed(labels, doc_id="doc_id", label=label).where(F.col("label").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
     # The rank is cut in each task before the shuffle, so that a frequent label stays small.
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = known.withColumn("rank", rank).where(F.col("rank") <= max_rows).select("doc_id", "label")
-    rows = renamed(docs, doc_id="doc_id", text="text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("text", "label").toPandas()
+    texts = renamed(docs, doc_id="doc_id", text="text").where(F.octet_length("text") <= LONGEST)  # not null
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label").toPandas()
     rows = rows.sort_values(["text", "label"], kind="stable")
     return rows["text"].tolist(), rows["label"].to_numpy()
 
@@ -134,12 +145,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: in
 
 
 def score(docs: DataFrame, model: Toxicity, column: str = "toxicity") -> DataFrame:
-    """``docs`` and the score of each row's ``text``."""
-    names, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
+    """``docs`` and the score of each row's ``text``, which replaces a column of that name."""
+    docs = replacing(docs, f"{column} double")
+    names, sent = docs.columns, shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.scores(data, offsets), pa.float64())], names=[*names, column])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sent.value.scores(data, offsets), pa.float64())], names=[*names, column])
 
     return docs.mapInArrow(run, with_fields(docs.schema, f"{column} double"))
 
