@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from demandspark.llm.common import U64, byte_values, held_out, lower_table, mix, pieces, ranges, renamed, replacing, rolling, shared, text_bytes, with_fields
 
-ORDERS = (5, 6, 7)
+ORDERS = (4, 5, 6)
 #: A feature must be in this share of the rows of the rarer label, and in this many rows.
 LEAST_SHARE, LEAST_ROWS = 0.025, 3
 BITS = 20
