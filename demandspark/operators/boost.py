@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 import sys
 import types
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -149,15 +150,66 @@ class Bins:
         return np.where(np.isnan(x), 0, out).astype(np.uint8)
 
 
+def summary(x: np.ndarray, points: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values and their weights that stand for ``x``: all distinct ones, or as many at even ranks."""
+    x = np.sort(x[~np.isnan(x)])
+    values, counts = np.unique(x, return_counts=True)
+    if len(values) <= points:
+        return values, counts
+    edge = np.linspace(0, len(x), points + 1).astype(np.int64)
+    return x[edge[1:] - 1], np.diff(edge)
+
+
+def quantile_ends(values: np.ndarray, weights: np.ndarray, n: int) -> list[float]:
+    """At most ``n`` upper ends of bins with like weights, the largest value left out."""
+    order = np.argsort(values, kind="stable")
+    values, upto = values[order], np.cumsum(weights[order])
+    if not len(values):
+        return []
+    at = np.searchsorted(upto, upto[-1] * (np.arange(n) + 1) / (n + 1), "left")
+    ends = np.unique(values[at])
+    return ends[ends < values[-1]].tolist()
+
+
 def fit_bins(df: DataFrame, columns: Sequence[str], categories: Sequence[str], params: BoostParams) -> Bins:
-    """Quantile bins over all rows; bins of categories go to the most frequent codes."""
+    """Quantile bins over all rows; bins of categories go to the most frequent codes.
+
+    Tasks summarise each number by points at even ranks, 8 for each bin, of blocks of rows; the
+    summaries of a number meet in one group.
+    """
     numbers, ends = [c for c in columns if c not in set(categories)], {}
-    n = params.bins - 2
+    n, points = params.bins - 2, 8 * params.bins
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def handed():
+            out = [summary(np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]), points) for i in range(len(numbers))]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(range(len(out)), pa.int32()), *[pa.array([x[k].astype(np.float64).tobytes() for x in out], pa.binary()) for k in (0, 1)]], names=["i", "values", "weights"]
+            )
+
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= BLOCK_ROWS:
+                yield handed()
+                held, rows = [], 0
+        if held:
+            yield handed()
+
+    def meet(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        i, values, weights = 0, [], []
+        for batch in group:
+            for r in batch.select(["i", "values", "weights"]).to_pylist():
+                i = r["i"]
+                values.append(np.frombuffer(r["values"])), weights.append(np.frombuffer(r["weights"]))
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([quantile_ends(np.concatenate(values), np.concatenate(weights), n)], pa.list_(pa.float64()))], names=["i", "ends"])
+
     if numbers:
-        at = [(k + 1) / (n + 1) for k in range(n)]
-        number = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
-        row = df.agg(*[F.percentile_approx(number(c), at, 8 * params.bins).alias(f"q{i}") for i, c in enumerate(numbers)]).first()
-        ends = {c: tuple(sorted(set(row[i] or ()))) for i, c in enumerate(numbers)}
+        rows = df.select(*[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(numbers)])
+        met = rows.mapInArrow(summarise, "i int, values binary, weights binary").groupBy("i").applyInArrow(meet, "i int, ends array<double>")
+        ends = {numbers[r.i]: tuple(r.ends) for r in met.collect()}  # at most ``bins`` of each column
     if categories:
         values = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in categories])).alias("x")
         counts = df.select(values).where("x.v is not null").groupBy("x.c", "x.v").count()
@@ -202,11 +254,11 @@ def write_blocks(df: DataFrame, bins: Bins, label: str, path: str) -> None:
 # --- a level ---------------------------------------------------------------------------------
 
 
-def kept_in_worker(run: str) -> dict:
-    """Predictions of a run's blocks in this Python worker."""
+def kept_in_worker(run: str) -> tuple[dict, list]:
+    """Predictions of a run's blocks in this Python worker, and the chunks of trees it has read."""
     module = sys.modules.setdefault("_demandspark_boost", types.ModuleType("_demandspark_boost"))
     if getattr(module, "run", None) != run:
-        module.run, module.kept = run, {}
+        module.run, module.kept = run, ({}, [])
     return module.kept
 
 
@@ -255,8 +307,11 @@ def level_of(run: str, trees: Sequence, tail: Sequence[Tree], tree: Tree, open_l
     """Task: sums by leaf, feature and bin of its blocks, by groups of features; errors so far under -1."""
 
     def level(blocks: Iterable) -> Iterator[tuple[int, object]]:
-        kept, sums, errors = kept_in_worker(run), {}, [0, 0, 0, 0]
-        done = [t for chunk in trees for t in chunk.value] + list(tail)
+        kept, kept_chunks = kept_in_worker(run)
+        sums, errors = {}, [0, 0, 0, 0]
+        for chunk in trees[len(kept_chunks) :]:
+            kept_chunks.append(cloudpickle.loads(chunk.value))
+        done = [t for chunk in kept_chunks[: len(trees)] for t in chunk] + list(tail)
         slot = np.full(len(tree.left), -1)
         slot[list(open_leaves)] = np.arange(len(open_leaves))
         groups = [features[g::GROUPS] for g in range(min(GROUPS, len(features)))]
@@ -316,6 +371,8 @@ class Boosting:
     unit: float = 1.0
     chunks: list = field(default_factory=list)
     saved: int = 0
+    #: Names this fit in the workers: one that goes on from saved trees starts anew there.
+    token: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def start(self) -> None:
         """Mean label and the unit of gradients; trees that an earlier fit has left."""
@@ -340,12 +397,12 @@ class Boosting:
         """One level: the best split of each open leaf."""
         while len(self.trees) - 32 * len(self.chunks) >= 32:
             k = 32 * len(self.chunks)
-            self.chunks.append(self.spark.sparkContext.broadcast(self.trees[k : k + 32]))
+            self.chunks.append(self.spark.sparkContext.broadcast(cloudpickle.dumps(self.trees[k : k + 32])))  # by value
         tail = self.trees[32 * len(self.chunks) :]
         p, unit = self.params, self.unit
         names, categories = self.bins.columns, self.bins.categories
         salt = (p.seed, sum(map(ord, self.name)), len(self.trees))
-        level = level_of(f"{self.path}/{self.name}", self.chunks, tail, tree, open_leaves, features, self.fitted, self.base, unit, salt, p, measure)
+        level = level_of(f"{self.path}/{self.name}/{self.token}", self.chunks, tail, tree, open_leaves, features, self.fitted, self.base, unit, salt, p, measure)
         groups = min(GROUPS, len(features))
 
         def chosen(item):

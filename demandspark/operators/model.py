@@ -75,16 +75,17 @@ def fit_encoder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-#: Rows of a column's dictionary that may be broadcast: a value and a code, some 100 bytes each.
-BROADCAST_ROWS = 100_000
+#: Entries of a column's dictionary that one projection looks up, and that may be broadcast (some 100 bytes each).
+LOOKUP_ROWS, BROADCAST_ROWS = 1_000, 100_000
 
 
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Append ``<column>_code``; NULL and unknown values take the replacement's code.
 
-    Columns whose dictionary is small look their codes up in a broadcast table, so that the rows
-    are not shuffled.  The others share one join: their values are exploded, meet the
-    dictionary by (feature, value), and come back to their row by its key.
+    Small dictionaries are maps in one projection of the rows, larger ones of a checked size
+    broadcast joins, so that rows are not shuffled for either.  Columns with still larger ones share one
+    join: their values are exploded, meet the dictionary by (feature, value), and come back to
+    their row by its key.
     """
     encoder = stage(
         encoder.filter(F.col("feature").isin(*columns)).select("feature", F.coalesce("text", F.col("number").cast("string")).alias("__v"), "code", "text", "number"), "encoder"
@@ -92,13 +93,19 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str], suf
     fallback = encoder.filter((F.col("text") == OTHER_TEXT) | (F.col("number") == float(OTHER_NUMBER)))
     other = {r["feature"]: r["code"] for r in fallback.select("feature", "code").collect()}  # one a column
     sizes = {r["feature"]: r["count"] for r in encoder.groupBy("feature").count().collect()}
-    small = [c for c in columns if sizes.get(c, 0) <= BROADCAST_ROWS]
-    large = [c for c in columns if c not in small]
+    tiny = [c for c in columns if sizes.get(c, 0) <= LOOKUP_ROWS]
+    small = [c for c in columns if LOOKUP_ROWS < sizes.get(c, 0) <= BROADCAST_ROWS]
+    large = [c for c in columns if sizes.get(c, 0) > BROADCAST_ROWS]
     key = lambda c: (F.col(f"`{c}`").cast("double") if _is_numeric(df, c) else F.col(f"`{c}`")).cast("string")
+    code = lambda c, found: F.coalesce(found, F.lit(other[c])).cast("long")
     out = df
-    for c in small:
-        codes = encoder.filter(F.col("feature") == c).select(F.col("__v").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}"))
-        out = out.join(F.broadcast(codes), key(c) == F.col(f"__v_{c}"), "left").drop(f"__v_{c}")
+    if small:
+        # the row rides along packed, so that each join copies one value
+        out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__all"), *[key(c).alias(f"__k_{c}") for c in small])
+        for c in small:
+            codes = encoder.filter(F.col("feature") == c).select(F.col("__v").alias(f"__k_{c}"), F.col("code").alias(f"__code_{c}"))
+            out = out.join(F.broadcast(codes), f"__k_{c}", "left")
+        out = out.select("__all.*", *[f"__code_{c}" for c in small])
     if large:
         out = stage(out.withColumn("__row", F.monotonically_increasing_id()), "to-encode")
         values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), key(c).alias("__v")) for c in large])).alias("x")
@@ -106,8 +113,11 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str], suf
         found = out.select("__row", values).select("__row", "x.*").where("__v is not null").join(encoder.select("feature", "__v", "code"), ["feature", "__v"])
         wide = found.groupBy("__row").agg(*[F.max(F.when(F.col("feature") == c, F.col("code"))).alias(f"__code_{c}") for c in large])
         out = out.join(wide, "__row", "left").drop("__row")
-    codes = {c + suffix: F.coalesce(f"__code_{c}", F.lit(other[c])).cast("long") for c in columns}
-    return out.withColumns(codes).drop(*[f"__code_{c}" for c in columns])
+    maps: dict[str, list] = {c: [] for c in tiny}
+    for r in encoder.filter(F.col("feature").isin(*tiny)).select("feature", "__v", "code").collect() if tiny else ():  # LOOKUP_ROWS of a column
+        maps[r["feature"]] += [F.lit(r["__v"]), F.lit(r["code"])]
+    found = {c: F.try_element_at(F.create_map(*maps[c]), key(c)) if maps[c] else F.lit(None) for c in tiny} | {c: F.col(f"__code_{c}") for c in [*small, *large]}
+    return out.withColumns({c + suffix: code(c, found[c]) for c in columns}).drop(*[f"__code_{c}" for c in [*small, *large]])
 
 
 def encode_categories(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:

@@ -14,6 +14,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandspark.config import DemandConfig
 from demandspark.functions.stage import stage, staging
@@ -62,9 +63,13 @@ def update_panel(src: Sources, cfg: DemandConfig, warehouse: str) -> DataFrame:
     return load_panel(src.rx.sparkSession, cfg, warehouse)
 
 
+def with_month(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+
+
 def load_panel(spark: SparkSession, cfg: DemandConfig, warehouse: str) -> DataFrame:
     """The panel's span, pruned by month directory and day."""
-    table = spark.read.parquet(f"{warehouse}/panel")
+    table = read_table(spark, f"{warehouse}/panel", with_month(schemas.PANEL))
     month = F.col(MONTH).between(cfg.panel_start.strftime("%Y-%m"), cfg.panel_end.strftime("%Y-%m"))
     day = (F.col(cfg.day) >= F.lit(cfg.panel_start)) & (F.col(cfg.day) < F.lit(cfg.panel_end))
     return table.filter(month & day).drop(MONTH)
@@ -199,7 +204,7 @@ def update_abc(panel: DataFrame, cfg: DemandConfig, warehouse: str) -> DataFrame
     """Refresh the ABC classes of the test range."""
     classes = schemas.conform(A.abc_class(panel, cfg), schemas.ABC)
     refresh_range(classes, f"{warehouse}/abc", cfg.day, cfg.abc_start, cfg.dataset_end, cfg.keys, [cfg.location])
-    return panel.sparkSession.read.parquet(f"{warehouse}/abc").drop(MONTH)
+    return read_table(panel.sparkSession, f"{warehouse}/abc", schemas.ABC)
 
 
 @cleaned
@@ -207,5 +212,5 @@ def blend(spark: SparkSession, cfg: DemandConfig, warehouse: str, start: date, e
     """Blend the diff and log models by class for prediction days ``[start, end)`` and upsert."""
     first = read_table(spark, f"{warehouse}/prediction_exp047", schemas.MODEL_PREDICTION)
     second = read_table(spark, f"{warehouse}/prediction_exp042", schemas.MODEL_PREDICTION)
-    classes = spark.read.parquet(f"{warehouse}/abc")
+    classes = read_table(spark, f"{warehouse}/abc", schemas.ABC)
     B.merge_blend(B.blend_predictions(first, second, classes, cfg, start, end), f"{warehouse}/prediction", cfg)

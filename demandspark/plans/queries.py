@@ -107,7 +107,7 @@ class Context:
         rows = stage(_train(self, "log", self.panel), "train")
         categories = categories_of(rows)
         encoder = stage(M.fit_encoder(rows, categories), "encoder")
-        coded = stage(M.apply_encoder(rows, encoder, categories), "coded")
+        coded = M.apply_encoder(rows, encoder, categories)
         codes = [f"{x}_code" for x in categories]
         features = [*numeric_features(rows, {"total_dose_monthly", "tanni_suryo", "week"}), *codes]
         return M.fit_two_phase(coded, features, "total_dose_monthly", _BOOST, codes), coded, encoder

@@ -1,8 +1,8 @@
 """Maintained Parquet tables: replace, date-range refresh and upsert.
 
-Tables are directories partitioned by one column (a day, or a month derived
-from it).  Every change stages its result first and then overwrites only the
-touched partitions, so an interrupted job can simply be run again.
+Tables are partitioned by one column (a day, or a month derived from it).  A refresh or an
+upsert reads and writes only the touched partitions and becomes visible at once, as a new
+snapshot (``snapshots``); what an interrupted job has written is no part of the table.
 """
 
 from __future__ import annotations
@@ -17,27 +17,16 @@ from pyspark.sql import types as T
 
 from demandspark.functions.stage import stage
 from demandspark.operators.quality import assert_unique
+from demandspark.sources.snapshots import commit, folders, read_folders
 
 #: Rows of one file that an upsert writes.
 ROWS_PER_FILE = 1_000_000
 MONTH = "dispensing_month"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
-def _drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or an empty typed frame before the first write."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    """The table as of now, or an empty typed frame before the first write."""
+    return read_folders(spark, path, folders(spark, path), schema)
 
 
 def replace_table(
@@ -72,29 +61,17 @@ def refresh_range(
 ) -> None:
     """Delete the days ``[start, end)`` of the table and insert ``fresh``.
 
-    Monthly partitions; only months overlapping the range are rewritten, and
-    months left without rows are removed.
+    Monthly partitions; only months overlapping the range are written anew, and
+    months left without rows are removed.  All months change at once.
     """
     spark = fresh.sparkSession
-    monthly = lambda df: df.withColumn(MONTH, F.date_format(day, "yyyy-MM"))
-    schema = T.StructType([*fresh.schema.fields, T.StructField(MONTH, T.StringType())])
-    existing = read_table(spark, path, schema)
     low, high = start.strftime("%Y-%m"), end.strftime("%Y-%m")
-    touched = existing.filter(F.col(MONTH).between(low, high))
-    new = stage(monthly(refreshed(touched.drop(MONTH), fresh, day, start, end)), "refresh")
-    assert_unique(new.filter((F.col(day) >= F.lit(start)) & (F.col(day) < F.lit(end))), keys)
-    before = {r[0] for r in touched.select(MONTH).distinct().collect()}
-    after = {r[0] for r in new.select(MONTH).distinct().collect()}
-    (
-        new.repartition(MONTH, *cluster_by[:1])
-        .sortWithinPartitions(MONTH, *cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
-    for month in before - after:
-        _drop_partition(spark, path, MONTH, month)
+    inside = lambda folder: low <= folder.partition("=")[2] <= high
+    touched = [f for f in folders(spark, path) if inside(f.partition("/")[2])]
+    new = refreshed(read_folders(spark, path, touched, fresh.schema), fresh, day, start, end)
+    rows = new.withColumn(MONTH, F.date_format(day, "yyyy-MM")).repartition(MONTH, *cluster_by[:1]).sortWithinPartitions(MONTH, *cluster_by)
+    in_range = (F.col(day) >= F.lit(start)) & (F.col(day) < F.lit(end))
+    commit(rows, path, MONTH, inside, lambda written: assert_unique(written.filter(in_range), keys))
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
@@ -136,13 +113,10 @@ def merge_table(
     touched = src.select(partition_by).distinct()
     files = 1 + src.count() // max(1, touched.count()) // ROWS_PER_FILE
     target = read_table(spark, path, schema).join(touched, partition_by, "left_semi").select(*schema.names)
-    (
-        stage(merged(target, src, keys, update), "merge")
+    rows = (
+        merged(target, src, keys, update)
         # one file in each directory, or as many as its rows need
         .repartition(partition_by, F.pmod(F.xxhash64(*keys), F.lit(files)))
         .sortWithinPartitions(partition_by, *[k for k in keys if k != partition_by])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
     )
+    commit(rows, path, partition_by, lambda _: False)

@@ -57,6 +57,18 @@ def test_one_split_parts_a_set_of_categories(spark):
     assert first.gain[0] > 2 * by_cut.trees[0].gain[0]
 
 
+def test_quantile_bins_of_summaries():
+    """Bins of even weight, from blocks that are summarised on their own; few values are kept exactly."""
+    rng = np.random.default_rng(0)
+    blocks = [rng.normal(k, 1, 5000) for k in range(6)] + [np.array([np.nan] * 9)]
+    parts = [B.summary(x, 8 * 64) for x in blocks]
+    ends = B.quantile_ends(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), 62)
+    counts = np.bincount(np.searchsorted(ends, np.concatenate(blocks[:6]), "left"))
+    assert len(ends) == 62 and counts.min() > 0.8 * 30_000 / 63 and counts.max() < 1.2 * 30_000 / 63
+    assert B.quantile_ends(*B.summary(np.array([3.0, 1.0, 1.0, np.nan, 2.0]), 100), 62) == [1.0, 2.0]
+    assert B.quantile_ends(np.zeros(0), np.zeros(0), 5) == []
+
+
 def test_rare_and_unknown_codes_share_a_bin():
     bins = B.Bins(("c",), frozenset(["c"]), ((5.0, 2.0),))
     assert bins.apply(0, np.array([5.0, 2.0, 9.0, 3.0, np.nan])).tolist() == [1, 2, 3, 3, 0]

@@ -15,6 +15,7 @@ from demandspark.operators import panel as P
 from demandspark.operators import publish as B
 from demandspark.operators import subject as S
 from demandspark.operators.calendar import SHIFTED_WEEKEND, calendar_dim
+from demandspark.operators import model
 from demandspark.operators.model import fit_encoder, apply_encoder, regression_metrics
 from demandspark.operators.quality import QualityError, assert_dense, assert_unique
 from demandspark.sources.tables import merge_table, merged, read_table, refresh_range
@@ -192,15 +193,23 @@ def test_refresh_removes_days_without_new_rows(spark, tmp_path):
     fresh = series(spark, [2.0], start=40)
     for _ in range(2):
         refresh_range(fresh, path, "dispensing_date", day(31), day(70), keys)
-    got = spark.read.parquet(path).orderBy("dispensing_date").collect()
+    got = read_table(spark, path, full.schema).orderBy("dispensing_date").collect()
     assert [r.x for r in got] == [1.0] * 31 + [2.0]
 
 
-def test_encoder_codes_sorted_with_replacement(spark):
+@pytest.mark.parametrize("lookup,broadcast", [(1000, 1000), (0, 1000), (0, 0), (2, 2), (0, 2)])
+def test_encoder_codes_sorted_with_replacement(spark, monkeypatch, lookup, broadcast):
+    """By maps, by broadcast tables, by one exploded join, or some columns each way."""
     rows = [("k1", "pear", 1.0, "train"), ("k2", "apple", 2.0, "train"), ("k3", "pear", 1.0, "valid"),
             ("k4", "apple", 3.0, "valid"), ("k5", None, None, "test"), ("k6", "zoo", 9.0, "test")]
     df = spark.createDataFrame(rows, "key string, c string, n double, split_flag string")
-    got = {r.key: (r.c_code, r.n_code) for r in apply_encoder(df, fit_encoder(df, ["c", "n"]), ["c", "n"]).collect()}
+    monkeypatch.setattr(model, "LOOKUP_ROWS", lookup)
+    monkeypatch.setattr(model, "BROADCAST_ROWS", broadcast)
+    coded = apply_encoder(df, fit_encoder(df, ["c", "n"]), ["c", "n"])
+    assert coded.columns == [*df.columns, "c_code", "n_code"]
+    got = {r.key: (r.c_code, r.n_code) for r in coded.collect()}
+    # small dictionaries do not shuffle the rows
+    assert ("Exchange hashpartitioning" in coded._jdf.queryExecution().executedPlan().toString()) == (broadcast < 3)  # the larger one has three entries
     # texts: apple 0, other 1, pear 2; numbers: -20000 is 0, 1.0 is 1
     assert got == {"k1": (2, 1), "k2": (0, 0), "k3": (2, 1), "k4": (0, 0), "k5": (1, 0), "k6": (1, 0)}
 
