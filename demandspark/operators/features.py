@@ -482,7 +482,8 @@ def doctor_feature(rx: DataFrame, cfg: DemandConfig, pad: bool = True, form: str
     Facts are counted per prescriber first, so one busy pair never gathers its
     rows: only its distinct prescribers meet.  ``form="counted"`` writes
     ``code*count`` instead of repeating the code, an equally distinguishing but
-    bounded text.
+    bounded text.  ``form="digest"`` gives a category key of constant size: sums of two hashes of
+    each (code, count), which depend on the multiset only, so that a pair gathers nothing.
     """
     from demandspark.functions.scalar import pad_code
     from demandspark.sources.files import scan_half_open
@@ -495,6 +496,11 @@ def doctor_feature(rx: DataFrame, cfg: DemandConfig, pad: bool = True, form: str
         .agg(F.count(F.lit(1)).alias("n"))
     )
     code = F.col("doctor_code")
+    if form == "digest":
+        named = counts.where(code.isNotNull())
+        hashed = [F.sum(F.xxhash64(*c).cast("decimal(38,0)")).cast("string") for c in ([code, F.col("n")], [F.lit("prescribers"), F.col("n"), code])]
+        digests = named.groupBy(*cfg.pair).agg(F.concat_ws(".", F.sum("n"), F.count(F.lit(1)), *hashed).alias("doctors"))
+        return counts.select(*cfg.pair).distinct().join(digests, cfg.pair, "left")
     if form == "counted":
         word = F.concat(code, F.lit("*"), F.col("n").cast("string"))
     else:

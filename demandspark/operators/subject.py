@@ -12,6 +12,7 @@ dense panel itself, join it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,44 +120,62 @@ _STATE = (
 )
 
 
-def subject_history(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
-    """Per panel day: last visit day and dose, yesterday's visit and supply end,
-    last known supply end, number of earlier visits."""
+def subject_spells(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+    """The subject panel's history as spells: one row for all days, ``valid_from`` to ``valid_to``, that share a state.
+
+    A state changes at events only, so that this, the form to store, grows with the events; the
+    dense days come back with ``expand_spells``.  Yesterday's visit and supply end hold on
+    the first day of a spell.
+    """
     states = _states(rx_daily(rx, cfg), pairs, cfg)
-    since = F.date_add(cfg.day, 1)
-    until = F.coalesce("next_event", "__to")
-    after = (
-        states.filter(since <= until)
-        .withColumn("__event", F.col(cfg.day))
-        .withColumn(cfg.day, F.explode(F.sequence(since, until, F.expr(_DAY))))
-    )
-    fresh = F.col(cfg.day) == F.date_add("__event", 1)
-    known = after.select(
-        cfg.subject,
-        *cfg.keys,
+    known = states.select(
+        *cfg.triple,
+        F.date_add(cfg.day, 1).alias("valid_from"),
+        F.coalesce("next_event", "__to").alias("valid_to"),
         F.col("last_visit").alias("lag_dispensing_date"),
         F.col("last_dose").alias("lag_total_dose"),
-        F.when(fresh & F.col("visited"), F.col("__event")).alias("stats_prescription_date"),
-        F.when(fresh, F.col("supply_end")).alias("pred_prescription_date"),
+        F.when(F.col("visited"), F.col(cfg.day)).alias("stats_prescription_date"),
+        F.col("supply_end").alias("pred_prescription_date"),
         F.col("last_supply_end").alias("filled_pred_prescription_date"),
         F.col("visits").alias("num_visit"),
-    )
-    head = states.filter(F.col(cfg.day) == F.col("__first")).withColumn(
-        cfg.day, F.explode(F.sequence("__from", "__first", F.expr(_DAY)))
-    )
-    unknown = head.select(
-        cfg.subject,
-        *cfg.keys,
-        F.lit(None).cast("date").alias("lag_dispensing_date"),
-        F.lit(None).cast("double").alias("lag_total_dose"),
-        F.lit(None).cast("date").alias("stats_prescription_date"),
-        F.lit(None).cast("date").alias("pred_prescription_date"),
-        F.lit(None).cast("date").alias("filled_pred_prescription_date"),
+    ).filter("valid_from <= valid_to")
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    unknown = states.filter(F.col(cfg.day) == F.col("__first")).select(
+        *cfg.triple,
+        F.col("__from").alias("valid_from"),
+        F.col("__first").alias("valid_to"),
+        none("date", "lag_dispensing_date"),
+        none("double", "lag_total_dose"),
+        none("date", "stats_prescription_date"),
+        none("date", "pred_prescription_date"),
+        none("date", "filled_pred_prescription_date"),
         F.lit(0).cast("long").alias("num_visit"),
     )
     return known.unionByName(unknown)
 
 
+def expand_spells(spells: DataFrame, cfg: DemandConfig, start: date | None = None, end: date | None = None) -> DataFrame:
+    """One row per day of the spells, of the days from ``start`` to ``end`` only if given (both included).
+
+    Spells outside are skipped by their bounds before anything is expanded.
+    """
+    low, high = F.col("valid_from"), F.col("valid_to")
+    if start is not None:
+        spells, low = spells.filter(high >= F.lit(start)), F.greatest(low, F.lit(start))
+    if end is not None:
+        spells, high = spells.filter(F.col("valid_from") <= F.lit(end)), F.least(high, F.lit(end))
+    days = spells.withColumn(cfg.day, F.explode(F.sequence(low, high, F.expr(_DAY))))
+    fresh = F.col(cfg.day) == F.col("valid_from")
+    first = ("stats_prescription_date", "pred_prescription_date")
+    return days.select(cfg.subject, *cfg.keys, *[F.when(fresh, F.col(c)).alias(c) if c in first else c for c in _STATE])
+
+
+def subject_history(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+    """Per panel day: last visit day and dose, yesterday's visit and supply end,
+    last known supply end, number of earlier visits."""
+    return expand_spells(subject_spells(rx, pairs, cfg), cfg)
+
+
 def visit_lag(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
     """Keys with the previous visit, filled and unfilled."""
     return subject_history(rx, pairs, cfg).drop("num_visit")

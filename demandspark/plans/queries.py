@@ -361,6 +361,7 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
     "last_nonzero": (lambda c: X.last_nonzero(c.panel, c.cfg), CHECK),
     "diff_panel": (lambda c: P.diff_panel(c.panel, c.cfg), CHECK),
     "visit_lag": (_coarse(S.visit_lag), CHECK),
+    "subject_spells": (_coarse(S.subject_spells), CHECK),
     "visit_count": (_coarse(S.visit_count), CHECK),
     "cum_share": (lambda c: A.cum_share(stage(A.trailing_sum(c.panel, c.cfg), "sums"), c.cfg), CHECK),
     "trailing_sum": (lambda c: A.trailing_sum(c.panel, c.cfg), CHECK),

@@ -245,3 +245,38 @@ def test_interval_mode_scales_support_by_same_day_rows(spark):
     assert got[day(321)] == 3
     plain = S.interval_mode(rx, pairs, cfg.with_(scale_support=False, min_support=2)).collect()
     assert {r.dispensing_date for r in plain} and min(r.dispensing_date for r in plain) == day(321)
+
+
+def test_prescriber_digest_parts_pairs_as_the_text_does(spark):
+    """Order does not matter, counts do; NULL codes count for nothing; the key has a bounded size."""
+    cfg = DemandConfig(end=day(900))
+    days = cfg.prescriber_start
+    sets = {"1": "ab", "2": "ba", "3": "aab", "4": "abb", "5": "", "6": "cd" * 400, "7": "dc" * 400, "8": "cd" * 399 + "c"}
+    rows = [(f"y{k}", s, days, d) for k in (1, 2) for s, codes in sets.items() for d in (codes or [None])]
+    rx = spark.createDataFrame(rows, "yj_code string, store_code string, dispensing_date date, doctor_code string").repartition(3)
+    forms = {f: {(r.yj_code, r.store_code): r.doctors for r in X.doctor_feature(rx, cfg, form=f).collect()} for f in ("text", "digest")}
+    assert set(forms["text"]) == set(forms["digest"]) and len(forms["text"]) == 16
+    pairs = sorted(forms["text"])
+    assert all((forms["text"][a] == forms["text"][b]) == (forms["digest"][a] == forms["digest"][b]) for a in pairs for b in pairs)
+    assert all((forms["text"][p] is None) == (forms["digest"][p] is None) for p in pairs)
+    assert max(len(v) for v in forms["digest"].values() if v) < 60
+
+
+def test_spells_are_events_and_expand_to_the_days_asked_for(spark):
+    cfg = DemandConfig(end=day(500), train_days=60, windows=(30,), tail_days=60)
+    d0 = cfg.panel_start
+    events = [(0, 7, 2.0), (9, 0, 1.0), (10, 14, 0.0), (75, 7, 3.0)]
+    rows = [("p", "y", "1", d0 + timedelta(days=40 + k), n, x, 1.0, "d") for k, n, x in events] + [("q", "y", "1", d0 + timedelta(days=3), 7, 1.0, 1.0, "d")]
+    rx = spark.createDataFrame(rows, "patient_no string, yj_code string, store_code string, dispensing_date date, hi_kaisu long, total_dose double, drug_price double, doctor_code string")
+    pairs = spark.createDataFrame([("y", "000001")], "yj_code string, store_code string")
+    spells = S.subject_spells(rx, pairs, cfg)
+    assert spells.count() <= len(rows) + 2
+    dense = S.subject_history(rx, pairs, cfg)
+    assert dense.groupBy("patient_no", "dispensing_date").count().filter("count > 1").isEmpty()
+    assert dense.count() == spells.select(F.sum(F.datediff("valid_to", "valid_from") + 1)).first()[0] > 100
+    a, b = d0 + timedelta(days=45), d0 + timedelta(days=60)
+    part = S.expand_spells(spells, cfg, a, b)
+    want = dense.filter(F.col("dispensing_date").between(F.lit(a), F.lit(b)))
+    key = lambda r: tuple(map(str, r))
+    assert part.columns == want.columns and sorted(map(key, part.collect())) == sorted(map(key, want.collect()))
+    assert part.filter("patient_no = 'p'").count() == 16
