@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.functions.stage import stage as written
+from demandspark.functions.stage import fresh_path, remove, staging
 from demandspark.llm import bpe, decontam, ngram_join, suffix_dedup, toxicity
 from demandspark.llm.common import table
 
@@ -52,8 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages on ``documents``, each written before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages on ``documents``, each written before the next; what a stage leaves behind goes, and so does its input."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, function in STAGES[:-1]:
-        docs = written(function(spark, docs, sf_dir), f"pipeline-{name}")
+        path = fresh_path(spark, f"pipeline-{name}")
+        with staging(spark):
+            function(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
