@@ -28,7 +28,7 @@ import html as entities
 import json
 import re
 import zlib
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -128,6 +128,8 @@ def parse(page: str) -> Part:
     stack: list[tuple[str, Part]] = [("#root", root)]
     texts: list[tuple[str, bool]] = []
     in_link = False
+    #: How many elements of a name are open, so that none is looked for in vain.
+    open_: Counter[str] = Counter()
 
     def flush() -> None:
         if texts and any(t and not t.isspace() for t, _ in texts):
@@ -140,9 +142,12 @@ def parse(page: str) -> Part:
         texts.clear()
 
     def close(names, stop) -> None:
+        if not any(open_[n] for n in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in names:
                 flush()
+                open_.subtract(n for n, _ in stack[k:])
                 del stack[k:]
                 return
             if stack[k][0] in stop:
@@ -213,6 +218,7 @@ def parse(page: str) -> Part:
             at = close_at or size
             continue
         stack.append((name, part))
+        open_[name] += 1
     flush()
     return root
 

@@ -1,6 +1,7 @@
 """HTML extraction: wrappers, planted articles in templates of several kinds, odd pages."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,13 @@ def test_same_texts_are_template_only_on_many_pages():
     assert text(H.SAME_PAGES) == "xx"
 
 
+@pytest.mark.parametrize("piece", ["<div>", "<ul><li>", "<script>", "<p a=\"b' ", "<!x ", "</p>", "<![CDATA[", "<a 'x ", "<div><p>"])
+def test_hostile_pages_take_little_time(piece):
+    began = time.time()
+    H.main_text(piece * 20_000, None)
+    assert time.time() - began < 10
+
+
 def test_very_long_page():
     page = "<article>" + "<p>word &amp; word</p>" * 100_000 + "</article>"
     assert H.main_text(page, None) == " ".join(["word & word"] * 100_000)
