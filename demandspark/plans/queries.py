@@ -254,7 +254,7 @@ def _coded_dataset(c: Context) -> DataFrame:
 
 
 # Larger steps than published, bins and patience to match; README has the figures of both.
-_BOOST = M.BoostParams(step=0.2, bins=64, patience=5)
+_BOOST = M.BoostParams(step=0.3, bins=64, patience=3)
 
 
 def _train_gbt(c: Context) -> DataFrame:
