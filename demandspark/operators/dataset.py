@@ -193,17 +193,23 @@ def train_dataset(
     ``subject`` optionally adds the aggregated subject features.
     """
     spec = LABELS[label]
-    # joined while the rows are still partitioned by pair
-    rows = _pair_rows(panel, calendar, cfg, label).join(doctors, cfg.pair, "left")
+    rows = _pair_rows(panel, calendar, cfg, label)
     rows = rows.join(_item_frame(panel, calendar, cfg, spec.variant), [cfg.item, cfg.day], "left")
     rows = null_safe(rows, _name_frame(panel, calendar, cfg, spec.variant), ["general_name", cfg.location, cfg.day])
+    gone = {*UNAVAILABLE, *(SCALED_TARGETS if spec.variant == X.SCALED else ())}
+    own = [c for c in rows.columns if c not in {"__item", "__name", *gone}]
     rows = rows.selectExpr(
-        *[quoted(c) for c in rows.columns if c not in ("__item", "__name")],
+        *[quoted(c) for c in own],
         *[f"__item.{quoted(c)} as {quoted(c)}" for c in _item_columns(cfg)],
         *[f"__name.{quoted(c)} as {quoted(c)}" for c in _name_columns(cfg)],
     )
-    rows = rows.drop(*UNAVAILABLE, *(SCALED_TARGETS if spec.variant == X.SCALED else ()))
-    return rows if subject is None else rows.join(subject, cfg.keys, "left")
+    if subject is not None:
+        rows = rows.join(subject, cfg.keys, "left")
+        own = [*cfg.keys, *[c for c in own if c not in set(cfg.keys)]]
+    # last: no other join moves the prescriber texts, which grow with the facts
+    columns = [*own, *[c for c in doctors.columns if c not in set(cfg.pair)]]
+    columns += [c for c in rows.columns if c not in set(columns)]
+    return X.with_doctors(rows, doctors, cfg).select(*[quoted(c) for c in columns])
 
 
 # -- prediction ----------------------------------------------------------------
@@ -292,6 +298,6 @@ def predict_dataset(
     if label == "scaled":
         base = base.withColumn(spec.column, F.expr(spec.source))
     rows = base.drop(*drop).join(features_asof(panel, calendar, cfg, spec.variant), cfg.keys, "left")
-    rows = rows.join(doctors, cfg.pair, "left")
+    rows = X.with_doctors(rows, doctors, cfg)
     rows = X.with_calendar(rows, calendar, cfg, ["is_holiday", "day_type", "day_type_sequence"])
     return rows.withColumn(cfg.day, F.date_add(cfg.day, cfg.horizon))

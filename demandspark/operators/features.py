@@ -513,6 +513,12 @@ def doctor_feature(rx: DataFrame, cfg: DemandConfig, pad: bool = True, form: str
     )
 
 
+def with_doctors(df: DataFrame, doctors: DataFrame, cfg: DemandConfig) -> DataFrame:
+    """The pairs' prescribers joined to the rows; the texts compress so well that a table of a broadcast's
+    size may not fit the driver, so they are never broadcast."""
+    return df.join(doctors.hint("merge"), cfg.pair, "left")
+
+
 def fill_forward(df: DataFrame, keys: Sequence[str], day: str, columns: Sequence[str]) -> DataFrame:
     """Replace NULLs by the last earlier value of the series."""
     upto = Window.partitionBy(*keys).orderBy(day)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandspark.config import DemandConfig
 from demandspark.functions.scalar import calendar_parts, pad_code
+from demandspark.functions.stage import stage
 from demandspark.sources.files import fact_scan
 from demandspark.sources.schemas import MASTER_COLUMNS
 
@@ -113,17 +114,18 @@ def _densify(days: DataFrame, facts: DataFrame, keys: list[str], cfg: DemandConf
     )
 
 
-def _daily_by_pair(by_subject: DataFrame, cfg: DemandConfig) -> DataFrame:
-    return by_subject.groupBy(*cfg.keys).agg(
+def daily_by_pair(rx: DataFrame, cfg: DemandConfig) -> DataFrame:
+    """Sums and distinct subjects per (item, location, day), written: pairs and items both start from it."""
+    daily = daily_by_subject(rx, cfg).groupBy(*cfg.keys).agg(
         F.sum("total_dose").alias("total_dose"),
         F.sum("total_price").alias("total_price"),
         F.count(cfg.subject).alias("nunique_patient_by_yj_store"),
     )
+    return stage(daily, "daily")
 
 
-def pair_targets(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+def pair_targets(daily: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
     """Forward sums and the day's distinct subjects per (item, location, day)."""
-    daily = _daily_by_pair(daily_by_subject(rx, cfg), cfg)
     grid = _densify(
         each_day(pairs, cfg.day, cfg.panel_start, cfg.end), daily, cfg.pair, cfg, "nunique_patient_by_yj_store"
     )
@@ -132,27 +134,20 @@ def pair_targets(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFram
     ).drop("dose", "price")
 
 
-def item_targets(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+def item_targets(rx: DataFrame, daily: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
     """Forward sums over stocked locations and distinct subjects over all locations, per (item, day)."""
-    by_subject = daily_by_subject(rx, cfg)
     amounts = (
-        by_subject.groupBy(*cfg.keys)
-        .agg(F.sum("total_dose").alias("total_dose"), F.sum("total_price").alias("total_price"))
-        .join(pairs, cfg.pair, "left_semi")
+        daily.join(pairs, cfg.pair, "left_semi")
         .groupBy(cfg.item, cfg.day)
         .agg(F.sum("total_dose").alias("total_dose"), F.sum("total_price").alias("total_price"))
         .withColumn("nunique_patient_by_yj", F.lit(None).cast("long"))
     )
-    subjects = (
-        by_subject.groupBy(cfg.item, cfg.day)
-        .agg(F.count_distinct(cfg.subject).alias("nunique_patient_by_yj"))
-        .select(
-            cfg.item,
-            cfg.day,
-            F.lit(0.0).alias("total_dose"),
-            F.lit(0.0).alias("total_price"),
-            "nunique_patient_by_yj",
-        )
+    subjects = nunique_by_item(rx, cfg).select(
+        cfg.item,
+        cfg.day,
+        F.lit(0.0).alias("total_dose"),
+        F.lit(0.0).alias("total_price"),
+        "nunique_patient_by_yj",
     )
     items = pairs.select(cfg.item).distinct()
     grid = _densify(
@@ -169,9 +164,10 @@ def item_targets(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFram
 
 def horizon_target(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
     """Keys and the four forward-horizon sums."""
-    item = item_targets(rx, pairs, cfg).drop("nunique_patient_by_yj")
+    daily = daily_by_pair(rx, cfg)
+    item = item_targets(rx, daily, pairs, cfg).drop("nunique_patient_by_yj")
     return (
-        pair_targets(rx, pairs, cfg)
+        pair_targets(daily, pairs, cfg)
         .drop("nunique_patient_by_yj_store")
         .join(item, [cfg.item, cfg.day], "left")
         .select(
@@ -187,9 +183,10 @@ def horizon_target(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFr
 def horizon_panel(rx: DataFrame, pairs: DataFrame, drug: DataFrame, cfg: DemandConfig) -> DataFrame:
     """The dense panel: calendar parts, item attributes, targets and subject counts."""
     master = drug_master(drug, cfg).distinct()
+    daily = daily_by_pair(rx, cfg)
     return (
-        pair_targets(rx, pairs, cfg)
-        .join(item_targets(rx, pairs, cfg), [cfg.item, cfg.day], "left")
+        pair_targets(daily, pairs, cfg)
+        .join(item_targets(rx, daily, pairs, cfg), [cfg.item, cfg.day], "left")
         .join(master, cfg.item, "left")
         .withColumns(calendar_parts(cfg.day))
         .withColumn("days_from_application", F.datediff("application_start_date", cfg.day).cast("long"))

@@ -8,6 +8,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.functions.stage import stage
+
+#: Suppliers (a key and a nation, some 60 bytes each) that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 # Public holidays of the fixture: month, day, name (fixed values).
 HOLIDAYS = (
     (1, 1, "元日"),
@@ -64,11 +68,16 @@ class TestData:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def _suppliers(self) -> DataFrame:
+        suppliers = self.table("supplier").select("s_suppkey", "s_nationkey")
+        return F.broadcast(suppliers) if suppliers.count() <= BROADCAST_ROWS else suppliers
+
     def _facts(self, item: Column, location: Column, subject: Column) -> DataFrame:
         return (
             self.table("lineitem")
+            .join(self._suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 item.alias("yj_code"),
@@ -86,6 +95,11 @@ class TestData:
     def rx(self) -> DataFrame:
         return self._facts(_brand_item(), F.col("s_nationkey"), F.col("o_custkey"))
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """``rx`` as a written table: the sources meet once for all that a flow takes from the facts."""
+        return stage(self.rx, "facts")
+
     @cached_property
     def rx_coarse(self) -> DataFrame:
         """Facts in which subjects come back often: few subjects and locations on purpose."""
@@ -113,7 +127,10 @@ class TestData:
     @cached_property
     def srq(self) -> DataFrame:
         """The assortment: every pair of item and location that has facts."""
-        return self.rx.select(
+        return self.stocked(self.rx)
+
+    def stocked(self, rx: DataFrame) -> DataFrame:
+        return rx.select(
             F.concat(F.lit("ID"), F.col("yj_code")).alias("yj_id"), (F.col("store_code").cast("long") + 1000).alias("soshiki_unit_id_store")
         ).distinct()
 
