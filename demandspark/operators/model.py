@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,16 @@ def fit_encoder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+#: Bytes of a text that a dictionary is looked up by; longer ones go by their digest.
+KEY_BYTES = 64
+
+
+def lookup_key(value: Column) -> Column:
+    """The text a value is looked up by: prescriber texts grow with the facts, their keys do not."""
+    text = value.cast("string")
+    return F.when(F.octet_length(text) > KEY_BYTES, F.concat(F.lit("sha256:"), F.sha2(text.cast("binary"), 256))).otherwise(text)
+
+
 #: Entries of a column's dictionary that one projection looks up, and that may be broadcast (some 100 bytes each).
 LOOKUP_ROWS, BROADCAST_ROWS = 1_000, 100_000
 
@@ -87,16 +97,16 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str], suf
     join: their values are exploded, meet the dictionary by (feature, value), and come back to
     their row by its key.
     """
+    fallback = F.coalesce((F.col("text") == OTHER_TEXT) | (F.col("number") == float(OTHER_NUMBER)), F.lit(False))
     encoder = stage(
-        encoder.filter(F.col("feature").isin(*columns)).select("feature", F.coalesce("text", F.col("number").cast("string")).alias("__v"), "code", "text", "number"), "encoder"
+        encoder.filter(F.col("feature").isin(*columns)).select("feature", lookup_key(F.coalesce("text", F.col("number").cast("string"))).alias("__v"), "code", fallback.alias("__other")), "encoder"
     )
-    fallback = encoder.filter((F.col("text") == OTHER_TEXT) | (F.col("number") == float(OTHER_NUMBER)))
-    other = {r["feature"]: r["code"] for r in fallback.select("feature", "code").collect()}  # one a column
+    other = {r["feature"]: r["code"] for r in encoder.filter("__other").select("feature", "code").collect()}  # one a column
     sizes = {r["feature"]: r["count"] for r in encoder.groupBy("feature").count().collect()}
     tiny = [c for c in columns if sizes.get(c, 0) <= LOOKUP_ROWS]
     small = [c for c in columns if LOOKUP_ROWS < sizes.get(c, 0) <= BROADCAST_ROWS]
     large = [c for c in columns if sizes.get(c, 0) > BROADCAST_ROWS]
-    key = lambda c: (F.col(f"`{c}`").cast("double") if _is_numeric(df, c) else F.col(f"`{c}`")).cast("string")
+    key = lambda c: lookup_key(F.col(f"`{c}`").cast("double") if _is_numeric(df, c) else F.col(f"`{c}`"))
     code = lambda c, found: F.coalesce(found, F.lit(other[c])).cast("long")
     out = df
     if small:

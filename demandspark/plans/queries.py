@@ -67,25 +67,31 @@ def digits(name: str) -> int:
 class Context:
     """Inputs and shared tables of one (session, directory)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: DemandConfig) -> None:
-        self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
-        self.data = TestData(spark, sf_dir)
+    def __init__(self, data: TestData, cfg: DemandConfig) -> None:
+        self.spark, self.sf_dir, self.cfg = data.spark, data.sf_dir, cfg
+        self.data = data
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return P.assortment(self.data.srq, self.data.drug, self.data.units, self.cfg)
+        return stage(self.pairs_of(self.data.stocked(self.data.facts)), "pairs")
+
+    def pairs_of(self, srq: DataFrame) -> DataFrame:
+        return P.assortment(srq, self.data.drug, self.data.units, self.cfg)
 
     @cached_property
     def calendar(self) -> DataFrame:
         """The years of the facts and one more, as a table: its size is known when it is joined."""
-        first, last = self.data.rx.agg(F.min(self.cfg.day), F.max(self.cfg.day)).first()
+        return self.calendar_of(self.data.facts)
+
+    def calendar_of(self, rx: DataFrame) -> DataFrame:
+        first, last = rx.agg(F.min(self.cfg.day), F.max(self.cfg.day)).first()
         years = last.year - first.year + 2
         names = self.data.holidays(first.year - 1, first.year + years)
         return stage(calendar_dim(self.spark, date(first.year, 1, 1), years, names), "calendar")
 
     @cached_property
     def panel(self) -> DataFrame:
-        return stage(P.horizon_panel(self.data.rx, self.pairs, self.data.drug, self.cfg), "panel")
+        return stage(P.horizon_panel(self.data.facts, self.pairs, self.data.drug, self.cfg), "panel")
 
     @cached_property
     def diff(self) -> DataFrame:
@@ -97,7 +103,7 @@ class Context:
 
     @cached_property
     def doctors(self) -> DataFrame:
-        return X.doctor_feature(self.data.rx, self.cfg)
+        return stage(X.doctor_feature(self.data.facts, self.cfg), "doctors")
 
     @cached_property
     def fit(self) -> tuple[M.Fit, DataFrame, DataFrame]:
@@ -107,7 +113,8 @@ class Context:
         rows = stage(_train(self, "log", self.panel), "train")
         categories = categories_of(rows)
         encoder = stage(M.fit_encoder(rows, categories), "encoder")
-        coded = M.apply_encoder(rows, encoder, categories)
+        # the passes of the fit need the codes, not the texts behind them
+        coded = stage(M.apply_encoder(rows, encoder, categories).drop(*[x for x, kind in rows.dtypes if x in categories and kind == "string"]), "coded")
         codes = [f"{x}_code" for x in categories]
         features = [*numeric_features(rows, {"total_dose_monthly", "tanni_suryo", "week"}), *codes]
         return M.fit_two_phase(coded, features, "total_dose_monthly", _BOOST, codes), coded, encoder
@@ -129,13 +136,17 @@ def categories_of(rows: DataFrame) -> list[str]:
 
 
 _contexts: dict[tuple[str, str, DemandConfig], Context] = {}
+#: The tables of a directory, and what is written of them, serve all parameters.
+_tables: dict[tuple[str, str], TestData] = {}
 
 
 def context(spark: SparkSession, sf_dir: str, cfg: DemandConfig = CHECK) -> Context:
     key = (spark.sparkContext.applicationId, sf_dir, cfg)
     if key not in _contexts:
-        # The settings belong to a session of their own; the caller's stays as it is.
-        _contexts[key] = Context(tuned(spark), sf_dir, cfg)
+        if key[:2] not in _tables:
+            # The settings belong to a session of their own; the caller's stays as it is.
+            _tables[key[:2]] = TestData(tuned(spark), sf_dir)
+        _contexts[key] = Context(_tables[key[:2]], cfg)
     return _contexts[key]
 
 
@@ -234,7 +245,7 @@ def experiment_of(cfg: DemandConfig, name: str) -> DemandConfig:
 def _subject_dataset(c: Context, name: str) -> DataFrame:
     own = context(c.spark, c.sf_dir, experiment_of(c.cfg, name))
     label = EXPERIMENTS[name]["label"]
-    subject = stage(S.patient_agg(own.data.rx, own.pairs, own.cfg), "subject")
+    subject = stage(S.patient_agg(own.data.facts, own.pairs, own.cfg), "subject")
     panel = own.diff if label == "diff" else own.panel
     return D.train_dataset(panel, own.calendar, own.doctors, own.cfg, label, subject)
 
@@ -248,7 +259,7 @@ def _cyclic(c: Context) -> DataFrame:
 
 def _coded_dataset(c: Context) -> DataFrame:
     rows = D.train_sample(D.with_label(c.panel, c.cfg), c.cfg)
-    rows = rows.join(c.doctors, c.cfg.pair, "left")
+    rows = X.with_doctors(rows, c.doctors, c.cfg)
     rows = X.with_calendar(rows, c.calendar, c.cfg, ["is_holiday", "day_type"])
     return M.encode_categories(rows, CODED).select(*c.cfg.keys, *[f"{x}_code" for x in CODED])
 
@@ -306,7 +317,7 @@ def _merge_blend(c: Context) -> DataFrame:
 def _calendar(c: Context) -> DataFrame:
     """The dimension written as a typed table and read back."""
     path = fresh_path(c.spark, "calendar")
-    schemas.conform(c.calendar, schemas.CALENDAR).write.mode("overwrite").parquet(path)
+    schemas.conform(c.calendar_of(c.data.rx), schemas.CALENDAR).write.mode("overwrite").parquet(path)
     return c.spark.read.parquet(path)
 
 
@@ -338,17 +349,17 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
     "encode_categories": (_coded_dataset, CHECK),
     "train_dataset": (lambda c: _train(c, "log", c.panel), CHECK),
     "subject_panel": (lambda c: S.subject_panel(c.data.rx_coarse, c.data.pairs_coarse, c.data.drug_coarse, c.cfg), CHECK),
-    "assortment": (lambda c: c.pairs, CHECK),
+    "assortment": (lambda c: c.pairs_of(c.data.srq), CHECK),
     "holiday_features": (lambda c: X.holiday_features(c.panel, c.calendar, c.cfg), CHECK),
-    "panel": (lambda c: P.horizon_panel(c.data.rx, c.pairs, c.data.drug, c.cfg), CHECK),
-    "dense_panel": (lambda c: P.dense_panel(c.pairs, c.cfg), CHECK),
+    "panel": (lambda c: P.horizon_panel(c.data.facts, c.pairs, c.data.drug, c.cfg), CHECK),
+    "dense_panel": (lambda c: P.dense_panel(c.pairs_of(c.data.srq), c.cfg), CHECK),
     "blend_predictions": (_blend_predictions, CHECK),
     "nunique_by_store": (lambda c: P.nunique_by_store(c.data.rx, c.cfg), WHOLE),
     "nunique_by_item": (lambda c: P.nunique_by_item(c.data.rx, c.cfg), WHOLE),
     "patient_agg": (_coarse(S.patient_agg), CHECK),
     "doctor_feature": (lambda c: X.doctor_feature(c.data.rx, c.cfg), WHOLE),
     "regression_metrics": (_regression_metrics, CHECK),
-    "horizon_target": (lambda c: P.horizon_target(c.data.rx, c.pairs, c.cfg), CHECK),
+    "horizon_target": (lambda c: P.horizon_target(c.data.facts, c.pairs, c.cfg), CHECK),
     "stats_features": (lambda c: X.stats_features(c.panel, c.cfg), CHECK),
     "stats_features_predict": (lambda c: X.stats_features(c.panel, c.cfg, "predict"), CHECK),
     "lag_features": (lambda c: X.lag_features(c.panel, c.cfg), CHECK),
