@@ -27,13 +27,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import per_worker, pieces, ranges, renamed, replacing, with_fields, word_hashes
+from demandspark.llm.common import lean, per_worker, pieces, ranges, renamed, replacing, with_fields, word_hashes
 
 #: The pre-tokenizer's pattern of this file format (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Python's \s also takes the separators U+001C to U+001F; the format's doesn't.
 SPACE = r"\t\n\x0b\f\r \x85\p{Z}"
-CACHE_CHUNKS = 1_000_000
+#: Chunks whose ids a process keeps, some 200 bytes each (and twice as many pairs); others are encoded again.
+CACHE_CHUNKS = 250_000
 
 
 def default_vocabulary() -> str:
@@ -308,7 +309,7 @@ def _coded(docs: DataFrame, path: str | None, kept: list[str], fields: str, fini
             columns = finish([ids[at[i] : at[i + 1]] for i in range(batch.num_rows)], decode)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns.values()], names=[*kept, *columns])
 
-    return docs.mapInArrow(run, with_fields(docs.select(*[F.col(f"`{c}`") for c in kept]).schema, fields))
+    return docs.mapInArrow(lean(run, key), with_fields(docs.select(*[F.col(f"`{c}`") for c in kept]).schema, fields))
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:

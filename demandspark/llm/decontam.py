@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import (
-    BASE, U64, class_table, lower_table, mix, pieces, ranges, renamed, replacing, shards, text_bytes, total_bytes, with_fields, word_bounds, word_hashes,
+    BASE, U64, class_table, lean, lower_table, mix, pieces, ranges, renamed, replacing, shards, text_bytes, total_bytes, with_fields, word_bounds, word_hashes,
 )
 
 WINDOW = 13
@@ -214,7 +214,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     for b in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()  # about block_bytes
         block = test_suffixes([r.item for r in rows], [r.text for r in rows], window)
-        out = out.mapInArrow(scanner(block, docs.columns, b > 0), schema)
+        out = out.mapInArrow(lean(scanner(block, docs.columns, b > 0)), schema)
     return out.drop("__hits").withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 

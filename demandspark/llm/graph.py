@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.stage import fresh_path, remove
+from demandspark.llm.common import lean
 
 
 #: Edges that a task connects at once before they are handed on.
@@ -63,7 +64,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "stars"
         return spark.read.schema(df.schema).parquet(path), path
 
     ordered = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v")
-    start = ordered.mapInArrow(connected, ordered.schema).distinct()
+    start = ordered.mapInArrow(lean(connected), ordered.schema).distinct()
     (stars, path), before = written(start), None
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.stage import stage
-from demandspark.llm.common import BASE, U64, class_table, lower_table, mix, pieces, renamed, shards, total_bytes, word_bounds, word_hashes
+from demandspark.llm.common import BASE, U64, class_table, lean, lower_table, mix, pieces, renamed, shards, total_bytes, word_bounds, word_hashes
 from demandspark.llm.graph import components
 
 WORDS = 3
@@ -120,7 +120,7 @@ def common_shingles(docs: DataFrame, n_docs: int, words: int) -> np.ndarray:
     the order: with any others all links are found as well, by larger groups.
     """
     least = max(COMMON_LEAST, COMMON_SHARE * n_docs)
-    found = docs.mapInArrow(count_locally(words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    found = docs.mapInArrow(lean(count_locally(words)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return np.sort(found.select("token").toArrow()["token"].to_numpy().view(U64))
 
 
@@ -504,8 +504,8 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     n_docs, size = total_bytes(docs)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, n_docs, words))
     # a word of six bytes makes a shingle
-    sent = docs.mapInArrow(_send(shards(size * ENTRY.itemsize * (100 - percent) // 600, SHARD_BYTES), percent, words, common), SENT)
-    met = stage(sent.groupBy("shard").applyInArrow(_meet(percent), MET), "ngram-met")
+    sent = docs.mapInArrow(lean(_send(shards(size * ENTRY.itemsize * (100 - percent) // 600, SHARD_BYTES), percent, words, common)), SENT)
+    met = stage(sent.groupBy("shard").applyInArrow(lean(_meet(percent)), MET), "ngram-met")
     rows = met.where("doc_id is not null").select("doc_id", "n", "node", F.col("a").alias("__near"))
     near = components(met.where("b is not null").select("a", "b"))
     members = near.unionByName(near.select("root").distinct().select(F.col("root").alias("node"), "root")).withColumnRenamed("node", "__near")
@@ -515,13 +515,13 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     chosen = stage(standing.join(sized, "__near").select("__id", F.col("root").alias("cluster"), "members"), "ngram-chosen")
     few = chosen.count() <= BROADCAST_ROWS
     picked = docs.join(F.broadcast(chosen) if few else chosen, "__id").select("text", "cluster", "members")
-    sets = picked.mapInArrow(_candidate_sets(BLOCK_SETS, words), SETS)
+    sets = picked.mapInArrow(lean(_candidate_sets(BLOCK_SETS, words)), SETS)
     pairs = F.concat(
         F.transform(F.sequence(F.lit(0), F.col("block")), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"))),
         F.filter(F.transform(F.sequence(F.col("block"), F.col("blocks") - 1), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"))), lambda p: p["j"] > F.col("block")),
     )
     tasks = sets.withColumn("task", F.explode(pairs)).select("cluster", "task.i", "task.j", "node", "block", "tokens")
-    links = tasks.groupBy("cluster", "i", "j").applyInArrow(_join_group(percent), "a binary, b binary")
+    links = tasks.groupBy("cluster", "i", "j").applyInArrow(lean(_join_group(percent)), "a binary, b binary")
     linked = components(links)
     lowest = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
     named = lowest.join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "low")

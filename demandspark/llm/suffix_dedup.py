@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import BASE, U64, byte_values, mix, pieces, ranges, renamed, rolling, shards, total_bytes
+from demandspark.llm.common import BASE, U64, byte_values, lean, mix, pieces, ranges, renamed, rolling, shards, total_bytes
 
 LENGTH = 100
 GRAM = 32
@@ -412,16 +412,16 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, digest: bool = False) -
     )
     # One shuffle of the texts serves both joins.
     texts = named.repartition(wide, "__id", "__hash")
-    sent = named.select("__id", "__hash", "text").mapInArrow(_anchor_rows(shards(size, ANCHOR_SHARD), length), ANCHORS)
-    again = sent.groupBy("shard").applyInArrow(_repeated, FOUND)
+    sent = named.select("__id", "__hash", "text").mapInArrow(lean(_anchor_rows(shards(size, ANCHOR_SHARD), length)), ANCHORS)
+    again = sent.groupBy("shard").applyInArrow(lean(_repeated), FOUND)
     by_doc = again.repartition(wide, "__id", "__hash").groupBy("__id", "__hash").agg(F.collect_list("place").alias("place"))
     # __extra isn't needed here, but keeps the shuffle of the texts the same in both joins.
-    runs = texts.join(by_doc, ["__id", "__hash"]).select("__id", "__hash", "__extra", "text", "place").mapInArrow(_run_rows(shards(size, RUN_SHARD), length), RUNS)
-    found = runs.groupBy("shard").applyInArrow(_duplicates(length), DUPLICATES)
+    runs = texts.join(by_doc, ["__id", "__hash"]).select("__id", "__hash", "__extra", "text", "place").mapInArrow(lean(_run_rows(shards(size, RUN_SHARD), length)), RUNS)
+    found = runs.groupBy("shard").applyInArrow(lean(_duplicates(length)), DUPLICATES)
     gone = found.repartition(wide, "__id", "__hash").groupBy("__id", "__hash").agg(*[F.collect_list(c).alias(c) for c in ("start", "stop")])
     extra = named.schema["__extra"].dataType.simpleString()
     out = f"__extra {extra}, n_bytes long, n_removed long, " + ("n_spans long, kept_sha256 string" if digest else "spans array<struct<start:long,stop:long>>, kept_text string")
-    return texts.join(gone, ["__id", "__hash"], "left").select("__extra", "text", "start", "stop").mapInArrow(_removal(length, digest), out)
+    return texts.join(gone, ["__id", "__hash"], "left").select("__extra", "text", "start", "stop").mapInArrow(lean(_removal(length, digest)), out)
 
 
 def dedup_digest(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import U64, byte_values, held_out, lower_table, mix, pieces, ranges, renamed, replacing, rolling, shared, text_bytes, with_fields
+from demandspark.llm.common import U64, byte_values, held_out, lean, lower_table, mix, pieces, ranges, renamed, replacing, rolling, shared, text_bytes, with_fields
 
 ORDERS = (4, 5, 6)
 #: A feature must be in this share of the rows of the rarer label, and in this many rows.
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: Toxicity, column: str = "toxicity") -> DataFra
         for batch, data, offsets in pieces(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sent.value.scores(data, offsets), pa.float64())], names=[*names, column])
 
-    return docs.mapInArrow(run, with_fields(docs.schema, f"{column} double"))
+    return docs.mapInArrow(lean(run), with_fields(docs.schema, f"{column} double"))
 
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame, limit: float = 0.7) -> DataFrame:
