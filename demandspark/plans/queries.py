@@ -71,9 +71,18 @@ class Context:
         self.spark, self.sf_dir, self.cfg = data.spark, data.sf_dir, cfg
         self.data = data
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """The facts of the run's span."""
+        return self.data.between(self.cfg.panel_start, self.cfg.end)
+
+    @cached_property
+    def stock(self) -> DataFrame:
+        return self.data.stock(self.cfg.panel_start, self.cfg.end)
+
     @cached_property
     def pairs(self) -> DataFrame:
-        return stage(self.pairs_of(self.data.stocked(self.data.facts)), "pairs")
+        return stage(self.pairs_of(self.data.stocked(self.stock)), "pairs")
 
     def pairs_of(self, srq: DataFrame) -> DataFrame:
         return P.assortment(srq, self.data.drug, self.data.units, self.cfg)
@@ -81,7 +90,7 @@ class Context:
     @cached_property
     def calendar(self) -> DataFrame:
         """The years of the facts and one more, as a table: its size is known when it is joined."""
-        return self.calendar_of(self.data.facts)
+        return self.calendar_of(self.stock)
 
     def calendar_of(self, rx: DataFrame) -> DataFrame:
         first, last = rx.agg(F.min(self.cfg.day), F.max(self.cfg.day)).first()
@@ -91,7 +100,7 @@ class Context:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return stage(P.horizon_panel(self.data.facts, self.pairs, self.data.drug, self.cfg), "panel")
+        return stage(P.horizon_panel(self.facts, self.pairs, self.data.drug, self.cfg), "panel")
 
     @cached_property
     def diff(self) -> DataFrame:
@@ -103,7 +112,7 @@ class Context:
 
     @cached_property
     def doctors(self) -> DataFrame:
-        return stage(X.doctor_feature(self.data.facts, self.cfg), "doctors")
+        return stage(X.doctor_feature(self.facts, self.cfg), "doctors")
 
     @cached_property
     def fit(self) -> tuple[M.Fit, DataFrame, DataFrame]:
@@ -245,7 +254,7 @@ def experiment_of(cfg: DemandConfig, name: str) -> DemandConfig:
 def _subject_dataset(c: Context, name: str) -> DataFrame:
     own = context(c.spark, c.sf_dir, experiment_of(c.cfg, name))
     label = EXPERIMENTS[name]["label"]
-    subject = stage(S.patient_agg(own.data.facts, own.pairs, own.cfg), "subject")
+    subject = stage(S.patient_agg(own.facts, own.pairs, own.cfg), "subject")
     panel = own.diff if label == "diff" else own.panel
     return D.train_dataset(panel, own.calendar, own.doctors, own.cfg, label, subject)
 
@@ -351,7 +360,7 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
     "subject_panel": (lambda c: S.subject_panel(c.data.rx_coarse, c.data.pairs_coarse, c.data.drug_coarse, c.cfg), CHECK),
     "assortment": (lambda c: c.pairs_of(c.data.srq), CHECK),
     "holiday_features": (lambda c: X.holiday_features(c.panel, c.calendar, c.cfg), CHECK),
-    "panel": (lambda c: P.horizon_panel(c.data.facts, c.pairs, c.data.drug, c.cfg), CHECK),
+    "panel": (lambda c: P.horizon_panel(c.facts, c.pairs, c.data.drug, c.cfg), CHECK),
     "dense_panel": (lambda c: P.dense_panel(c.pairs_of(c.data.srq), c.cfg), CHECK),
     "blend_predictions": (_blend_predictions, CHECK),
     "nunique_by_store": (lambda c: P.nunique_by_store(c.data.rx, c.cfg), WHOLE),
@@ -359,7 +368,7 @@ REGISTRY: dict[str, tuple[Callable[[Context], DataFrame], DemandConfig]] = {
     "patient_agg": (_coarse(S.patient_agg), CHECK),
     "doctor_feature": (lambda c: X.doctor_feature(c.data.rx, c.cfg), WHOLE),
     "regression_metrics": (_regression_metrics, CHECK),
-    "horizon_target": (lambda c: P.horizon_target(c.data.facts, c.pairs, c.cfg), CHECK),
+    "horizon_target": (lambda c: P.horizon_target(c.facts, c.pairs, c.cfg), CHECK),
     "stats_features": (lambda c: X.stats_features(c.panel, c.cfg), CHECK),
     "stats_features_predict": (lambda c: X.stats_features(c.panel, c.cfg, "predict"), CHECK),
     "lag_features": (lambda c: X.lag_features(c.panel, c.cfg), CHECK),
