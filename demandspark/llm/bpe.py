@@ -35,6 +35,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SPACE = r"\t\n\x0b\f\r \x85\p{Z}"
 #: Chunks whose ids a process keeps, some 200 bytes each (and twice as many pairs); others are encoded again.
 CACHE_CHUNKS = 250_000
+#: Text bytes that are split and looked up at once; their arrays take some 40 times as much.
+PIECE = 1 << 19
 
 
 def default_vocabulary() -> str:
@@ -231,7 +233,9 @@ LETTER, NUMBER, OTHER, WHITE = range(4)
 
 def character_classes() -> np.ndarray:
     """The pattern's class of each code point."""
-    every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\ufffd" for c in range(0x110000))
+    points = np.arange(0x110000, dtype="<u4")
+    points[0xD800:0xE000] = 0xFFFD
+    every = points.tobytes().decode("utf-32-le")
     classes = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, f"[{SPACE}]+")):
         for m in regex.finditer(pattern, every):
@@ -304,7 +308,7 @@ def _coded(docs: DataFrame, path: str | None, kept: list[str], fields: str, fini
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(key, lambda: Encoder(Vocabulary(shared.value)))
         decode = encoder.decoder()
-        for batch, data, offsets in pieces(batches):
+        for batch, data, offsets in pieces(batches, limit=PIECE):
             ids, at = encoder.encode_piece(data, offsets)
             columns = finish([ids[at[i] : at[i + 1]] for i in range(batch.num_rows)], decode)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns.values()], names=[*kept, *columns])
