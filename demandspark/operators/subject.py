@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from demandspark.config import DemandConfig
 from demandspark.functions.moments import quoted, range_frame
+from demandspark.functions.stage import stage
 from demandspark.operators.panel import drug_master
 from demandspark.sources.files import fact_scan
 from demandspark.sources.schemas import MASTER_COLUMNS
@@ -106,7 +107,12 @@ def _states(daily: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
                 "next_event": F.lead(cfg.day).over(series),
             }
         )
-        .withColumn("last_supply_end", F.last("supply_end", ignorenulls=True).over(series))
+        .withColumns(
+            {
+                "last_supply_end": F.last("supply_end", ignorenulls=True).over(series),
+                "previous_visit": F.lag("last_visit").over(series),
+            }
+        )
     )
 
 
@@ -120,14 +126,19 @@ _STATE = (
 )
 
 
-def subject_spells(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+def event_states(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+    """The states of all events as a written table: facts are summed, moved and put in order once for all that follows."""
+    return stage(_states(rx_daily(rx, cfg), pairs, cfg).drop("hi_kaisu", "total_price"), "states")
+
+
+def subject_spells(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, states: DataFrame | None = None) -> DataFrame:
     """The subject panel's history as spells: one row for all days, ``valid_from`` to ``valid_to``, that share a state.
 
     A state changes at events only, so that this, the form to store, grows with the events; the
     dense days come back with ``expand_spells``.  Yesterday's visit and supply end hold on
     the first day of a spell.
     """
-    states = _states(rx_daily(rx, cfg), pairs, cfg)
+    states = _states(rx_daily(rx, cfg), pairs, cfg) if states is None else states
     known = states.select(
         *cfg.triple,
         F.date_add(cfg.day, 1).alias("valid_from"),
@@ -186,7 +197,7 @@ def visit_count(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame
     return subject_history(rx, pairs, cfg).select(cfg.subject, *cfg.keys, "num_visit")
 
 
-def interval_mode(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+def interval_mode(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, states: DataFrame | None = None) -> DataFrame:
     """Most frequent gap between visits in the preceding days, per (item, day).
 
     For every item and day of the subject panel: the gap occurring most often
@@ -198,10 +209,13 @@ def interval_mode(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFra
     gap) is a short list of +/- steps; a running sum over the steps and a narrow
     explode replace a range join of visits with days.
     """
-    events = _events(rx_daily(rx, cfg), pairs, cfg)
     day, item = cfg.day, cfg.item
-    previous = F.lag(day).over(Window.partitionBy(*cfg.triple).orderBy(day))
-    visits = events.filter("total_dose > 0").select(item, day, F.datediff(day, previous).cast("long").alias("gap"))
+    if states is None:
+        events = _events(rx_daily(rx, cfg), pairs, cfg)
+        visits = events.filter("total_dose > 0").withColumn("previous_visit", F.lag(day).over(Window.partitionBy(*cfg.triple).orderBy(day)))
+    else:
+        events, visits = states, states.filter("visited")
+    visits = visits.select(item, day, F.datediff(day, "previous_visit").cast("long").alias("gap"))
     # one row per (item, day, gap), NULL gap included: it counts as a visit row
     daily = visits.groupBy(item, day, "gap").agg(F.count(F.lit(1)).alias("c"))
 
@@ -249,12 +263,11 @@ def interval_mode(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFra
 
 
 def panel_days(events: DataFrame, cfg: DemandConfig) -> DataFrame:
-    """Distinct (item, day) of the subject panel, from span starts and ends."""
+    """Distinct (item, day) of the subject panel, from span starts and ends: a triple has them on its first event."""
     item = cfg.item
     marks = (
-        events.groupBy(*cfg.triple)
-        .agg(F.first("__from").alias("a"), F.first("__to").alias("b"))
-        .groupBy(item, "a", "b")
+        events.filter(F.col(cfg.day) == F.col("__first"))
+        .groupBy(item, F.col("__from").alias("a"), F.col("__to").alias("b"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             item,
@@ -308,14 +321,15 @@ def _expected(states: DataFrame, cfg: DemandConfig, at: str, prefix: str) -> Dat
     )
 
 
-def expected_demand(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig) -> DataFrame:
+def expected_demand(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, states: DataFrame | None = None) -> DataFrame:
     """Last doses summarised by the day they are expected again, and by visit day.
 
     ``pred_*`` groups by the end of supply, ``stats_*`` by the day of the visit
     itself.  Both come from the events; a state that would start after the
     triple's span is not counted.
     """
-    states = _states(rx_daily(rx, cfg), pairs, cfg).filter(F.col(cfg.day) < F.col("__to"))
+    states = _states(rx_daily(rx, cfg), pairs, cfg) if states is None else states
+    states = states.filter(F.col(cfg.day) < F.col("__to"))
     pred = _expected(states.filter("supply_end is not null"), cfg, "supply_end", "pred")
     stats = _expected(states.filter("visited"), cfg, cfg.day, "stats")
     return pred.join(stats, cfg.keys, "full_outer")
@@ -347,34 +361,50 @@ DENSE_MEASURES = ("diff_pred_prescription_date", "num_visit", "day_from_last_dis
 MODE_MEASURE = "diff_stats_prescription_date"
 
 
-def _daily_summaries(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, exact: bool) -> DataFrame:
+def _daily_summaries(rx: DataFrame, pairs: DataFrame, cfg: DemandConfig, exact: bool, states: DataFrame | None = None) -> DataFrame:
     """Returning subjects summarised per (item, location, day); ``exact`` adds counts and integer sums.
 
     The distance to the statistically predicted visit is the days since the last
     visit less the interval mode, one value per (item, day): it is taken off the
     summaries, so that the dense panel is never joined.
     """
-    day = cfg.day
-    base = subject_history(rx, pairs, cfg).filter("num_visit > 0").select(
+    day, weight = cfg.day, F.col("__weight")
+    states = event_states(rx, pairs, cfg) if states is None else states
+    # what the summaries see of a spell; spells alike are counted and become days once
+    seen = [*cfg.pair, "valid_from", "valid_to", "filled_pred_prescription_date", "num_visit", "lag_dispensing_date"]
+    alike = subject_spells(rx, pairs, cfg, states).filter("num_visit > 0").groupBy(*seen).agg(F.count(F.lit(1)).alias("__weight"))
+    base = alike.withColumn(day, F.explode(F.sequence("valid_from", "valid_to", F.expr(_DAY)))).select(
         *cfg.keys,
+        "__weight",
         F.datediff(day, "filled_pred_prescription_date").cast("long").alias("diff_pred_prescription_date"),
         "num_visit",
         F.datediff(day, "lag_dispensing_date").cast("long").alias("day_from_last_dispensing"),
     )
-    cells = [aggregate(op, m).alias(f"{op}_{m}_yj_store") for op in cfg.ops for m in DENSE_MEASURES]
-    if exact:
-        for m in DENSE_MEASURES:
-            wide = F.col(m).cast("decimal(38,0)")
-            cells += [
-                F.count(m).alias(f"__n_{m}"),
-                F.sum(m).alias(f"__s_{m}"),
-                F.sum(wide * F.col(m)).alias(f"__q_{m}"),
-                F.min(m).alias(f"__lo_{m}"),
-                F.max(m).alias(f"__hi_{m}"),
-            ]
+    sums, cells = [], []
+    for m in DENSE_MEASURES:
+        x, wide = F.col(m).cast("double"), F.col(m).cast("decimal(19,0)")
+        sums += [
+            F.coalesce(F.sum(F.when(F.col(m).isNotNull(), weight)), F.lit(0).cast("long")).alias(f"__n_{m}"),
+            F.sum(x * weight).alias(f"__x_{m}"),
+            F.sum(x * x * weight).alias(f"__xx_{m}"),
+            F.min(m).alias(f"__lo_{m}"),
+            F.max(m).alias(f"__hi_{m}"),
+        ]
+        if exact:
+            sums += [F.sum(F.col(m) * weight).alias(f"__s_{m}"), F.sum((wide * wide * weight).cast("decimal(38,0)")).alias(f"__q_{m}")]
+        n, s, q = F.col(f"__n_{m}"), F.col(f"__x_{m}"), F.col(f"__xx_{m}")
+        of = {
+            "AVG": F.when(n > 0, s / n),
+            # sums of whole numbers: exact up to 2^53, so that equal values give 0
+            "STDDEV": F.when(n > 1, F.sqrt(F.greatest(n * q - s * s, F.lit(0.0)) / n / (n - 1))),
+            "MIN": F.col(f"__lo_{m}"),
+            "MAX": F.col(f"__hi_{m}"),
+        }
+        cells += [of[op].alias(f"{op}_{m}_yj_store") for op in cfg.ops]
+    kept = [f"__{k}_{m}" for m in DENSE_MEASURES for k in ("n", "s", "q", "lo", "hi")] if exact else []
     mode, since = F.col("interval_prescription"), "day_from_last_dispensing"
-    modes = interval_mode(rx, pairs, cfg).select(cfg.item, day, "interval_prescription")
-    daily = base.groupBy(*cfg.keys).agg(*cells).join(modes, [cfg.item, day], "left")
+    modes = interval_mode(rx, pairs, cfg, states).select(cfg.item, day, "interval_prescription")
+    daily = base.groupBy(*cfg.keys).agg(*sums).select(*cfg.keys, *cells, *kept).join(modes, [cfg.item, day], "left")
     shifted = {
         f"{op}_{MODE_MEASURE}_yj_store": F.col(f"{op}_{since}_yj_store") - mode
         if op != "STDDEV"
@@ -403,8 +433,9 @@ def patient_agg(
     aggregates over ``[t - s - delay, t - delay]``.
     """
     windows = cfg.stats_days if windows is None else tuple(windows)
-    daily = _daily_summaries(rx, pairs, cfg, bool(windows))
-    out = daily.join(expected_demand(rx, pairs, cfg).select(*cfg.keys, *_dose_columns(cfg)), cfg.keys, "left")
+    states = event_states(rx, pairs, cfg)
+    daily = _daily_summaries(rx, pairs, cfg, bool(windows), states)
+    out = daily.join(expected_demand(rx, pairs, cfg, states).select(*cfg.keys, *_dose_columns(cfg)), cfg.keys, "left")
     if windows:
         out = _patient_windows(out, cfg, windows)
     names = [f"{op}_{m}_yj_store" for op in cfg.ops for m in AGG_MEASURES]
