@@ -8,7 +8,8 @@ each prefix and following the back-pointers from the end gives the ids, without
 replaying merges.
 
 Chunks repeat, so that each task encodes a distinct chunk once (its memory is bounded
-by a cache that starts anew when full).
+by a cache that starts anew when full).  What a task met goes when it ends: only the
+tables of the vocabulary stay in its Python process.
 
 Defined results: a null or empty text has no ids and decodes to an empty text.
 """
@@ -178,6 +179,10 @@ class Encoder:
             out.append(self.lookup([c.encode() for c in self.split(part)]) if special is None else [special.to_bytes(4, "little")])
         return b"".join(x for y in out for x in y)
 
+    def forget(self) -> None:
+        """Drop what the texts so far have left: the ids of chunks and the pairs of tokens."""
+        self.chunks, self.pairs = {}, {}
+
     def lookup(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of distinct chunks; those not met before are encoded."""
         known = self.chunks

@@ -98,7 +98,10 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = P
 
 
 def per_worker(key, make: Callable):
-    """What a task leaves for the next tasks of its Python process: one object that is costly to make."""
+    """What a task leaves for the next tasks of its Python process: one object that is costly to make.
+
+    A method ``forget`` of that object drops what it holds of a task's rows (``lean`` calls it).
+    """
     kept = sys.modules.setdefault("_demandspark_llm_kept", types.ModuleType("_demandspark_llm_kept")).__dict__
     if kept.get("key") != key:
         kept["value"], kept["key"] = make(), key
@@ -109,7 +112,8 @@ def lean(run: Callable, key=None) -> Callable:
     """The task function ``run`` as one that leaves no more than ``key``'s object in its Python process.
 
     Processes outlive their tasks, and an idle one keeps what was freed in it.  What a task of another
-    operator kept goes first; freed memory returns to the system at the end (groups of few bytes skip that).
+    operator kept goes first, and that object forgets the task's rows at the end; freed memory then returns to
+    the system (groups of few bytes skip that).
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,6 +131,10 @@ def lean(run: Callable, key=None) -> Callable:
         try:
             yield from run(counted())
         finally:
+            left = sys.modules.get("_demandspark_llm_kept")
+            forget = left is not None and getattr(left.__dict__.get("value"), "forget", None)
+            if forget:
+                forget()
             if size >= PIECE_BYTES:
                 pa.default_memory_pool().release_unused()
                 trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only

@@ -45,6 +45,21 @@ def test_cache_of_an_encoder_is_bounded():
     assert len(encoder.chunks) <= 100 and encoder.lookup(chunks) == first
 
 
+def test_a_task_of_the_tokenizer_leaves_no_caches(spark, monkeypatch):
+    made, tasks, met = [], [], []
+    monkeypatch.setattr(bpe, "per_worker", lambda key, make: per_worker(key, lambda: made.append(make()) or made[0]))
+    monkeypatch.setattr(bpe, "lean", lambda run, key=None: tasks.append(lean(run, key)) or run)
+    bpe.encode(spark.createDataFrame([(1, "x")], "doc_id long, text string"))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some unusual words", "other words"]})
+    for ends_early in (False, True):
+        task = tasks[0](iter([batch, batch]))
+        assert next(task).column("decoded").to_pylist() == ["some unusual words", "other words"]
+        met.append(bool(made[0].chunks and made[0].pairs))
+        task.close() if ends_early else list(task)
+        assert not made[0].chunks and not made[0].pairs
+    assert met == [True, True] and len(made) == 1  # the tables stay
+
+
 def test_groups_of_the_join_still_meet(spark):
     rows = [(i, "a b c d e f g h i j k l m n o p q r s t u v w x y z " + "end" * (i % 2)) for i in range(40)]
     got = ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 80, 3).collect()
