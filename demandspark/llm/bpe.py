@@ -35,7 +35,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Python's \s also takes the separators U+001C to U+001F; the format's doesn't.
 SPACE = r"\t\n\x0b\f\r \x85\p{Z}"
 #: Chunks whose ids a process keeps, some 200 bytes each (and twice as many pairs); others are encoded again.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 100_000
 #: Text bytes that are split and looked up at once; their arrays take some 40 times as much.
 PIECE = 1 << 19
 
@@ -54,25 +54,37 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tokens, merge ranks and special tokens of a byte-level BPE file."""
+    """Tokens, merge ranks and special tokens of a byte-level BPE file, by id in flat arrays."""
 
     def __init__(self, text: str) -> None:
         spec = json.loads(text)
         alphabet = byte_alphabet()
         raw = lambda token: bytes(alphabet[c] for c in token)
-        self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items()}
-        self.bytes_of = {i: t for t, i in self.ids.items()}
-        #: The pair that makes a token, and the rank of each merge.
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.rank: dict[tuple[int, int], int] = {}
-        for rank, merge in enumerate(spec["model"]["merges"]):
-            a, b = map(raw, merge.split(" ") if isinstance(merge, str) else merge)
-            pair = self.ids[a], self.ids[b]
-            self.rank[pair] = rank
-            self.parts.setdefault(self.ids[a + b], pair)
+        ids = {raw(t): i for t, i in spec["model"]["vocab"].items()}
+        merges = [[ids[raw(t)] for t in (m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        for content, i in self.special.items():
-            self.bytes_of[i] = content.encode()
+        of = {i: t for t, i in ids.items()} | {i: content.encode() for content, i in self.special.items()}
+        top = max(of) + 1
+        #: The bytes of all tokens, one after the other, and the length of each.
+        self.pool = b"".join(of.get(i, b"") for i in range(top))
+        self.length = array("i", [len(of.get(i, b"")) for i in range(top)])
+        #: The tokens of the model and their ids, as an automaton that finds them in a text.
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for token, i in ids.items():
+            self.machine.add_word(token.decode("latin-1"), i)
+        self.machine.make_automaton()
+        #: The pair that makes a token first (-1: none).
+        self.left, self.right = array("i", [-1]) * top, array("i", [-1]) * top
+        for a, b in merges:
+            whole = ids[of[a] + of[b]]
+            if self.left[whole] < 0:
+                self.left[whole], self.right[whole] = a, b
+        pairs = array("q", [a << 32 | b for a, b in merges])
+        del spec, ids, of, merges
+        #: The rank of each merge, by left << 32 | right; the last one counts.
+        self.rank = {pair: rank for rank, pair in enumerate(pairs)}
+        #: The rank of the merge that makes a token (-1: none).
+        self.made = array("i", [self.rank[a << 32 | b] if a >= 0 else -1 for a, b in zip(self.left, self.right, strict=True)])
 
 
 class Encoder:
@@ -80,11 +92,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, cache_chunks: int = CACHE_CHUNKS) -> None:
         self.v, self.cache_chunks = vocabulary, cache_chunks
-        self.machine = ahocorasick.Automaton()
-        for token, i in vocabulary.ids.items():
-            self.machine.add_word(token.decode("latin-1"), (i, len(token)))
-        self.machine.make_automaton()
-        self.length = {i: len(t) for i, t in vocabulary.bytes_of.items()}
+        self.machine, self.length = vocabulary.machine, vocabulary.length
         self.pairs: dict[int, bool] = {}
         self.single: dict[int, bool] = {}
         self.chunks: dict[bytes, bytes] = {}
@@ -100,25 +108,23 @@ class Encoder:
         across the border that comes before the one undone would have been made first.
         ``limit``: only merges across that come before this rank count.
         """
-        rank, parts = self.v.rank, self.v.parts
+        rank, made = self.v.rank, self.v.made
         left, right = a, b
         limit = len(rank) if limit is None else limit
         while True:
-            across = rank.get((left, right))
+            across = rank.get(left << 32 | right)
             if across is not None and across < limit:
                 return False
-            l_parts, r_parts = parts.get(left), parts.get(right)
-            l_rank = -1 if l_parts is None else rank[l_parts]
-            r_rank = -1 if r_parts is None else rank[r_parts]
+            l_rank, r_rank = made[left], made[right]
             if l_rank < 0 and r_rank < 0:
                 return True
             # Undo the later merge, of equals the right one.  Equal merges are made from
             # left to right, so that one across the border comes before an equal one on
             # its right and after an equal one on its left.
             if l_rank > r_rank:
-                limit, left = l_rank, l_parts[1]
+                limit, left = l_rank, self.v.right[left]
             else:
-                limit, right = r_rank + 1, r_parts[0]
+                limit, right = r_rank + 1, self.v.left[right]
 
     def chunk_ids(self, chunk: bytes) -> list[int]:
         """The ids of one chunk."""
@@ -129,7 +135,7 @@ class Encoder:
 
         What a chunk has in common with the one before it has the same prefixes.
         """
-        known, before, last = self.pairs, b"", [-1]
+        known, lengths, before, last = self.pairs, self.length, b"", [-1]
         for chunk in chunks:
             n = len(chunk)
             most = min(n, len(before))
@@ -140,9 +146,10 @@ class Encoder:
                     same += 1
             last = last[: same + 1] + [-1] * (n - same)
             # The automaton gives the suffixes of each prefix, the longest first.
-            for end, (token, length) in self.machine.iter(chunk.decode("latin-1")):
+            for end, token in self.machine.iter(chunk.decode("latin-1")):
                 if end < same or last[end + 1] >= 0:
                     continue
+                length = lengths[token]
                 if end >= length:
                     left = last[end + 1 - length]
                     if left < 0:
@@ -166,8 +173,8 @@ class Encoder:
         """Whether a token's own bytes encode to it: its two parts, encoded on their own, are joined last."""
         good = self.single.get(token)
         if good is None:
-            pair = self.v.parts.get(token)
-            good = pair is None or (self.is_single(pair[0]) and self.is_single(pair[1]) and self.compatible(*pair, self.v.rank[pair]))
+            left, right = self.v.left[token], self.v.right[token]
+            good = left < 0 or (self.is_single(left) and self.is_single(right) and self.compatible(left, right, self.v.made[token]))
             self.single[token] = good
         return good
 
@@ -220,10 +227,8 @@ class Encoder:
 
     def decoder(self):
         """A function from ids to text, by the bytes of all tokens put one after the other."""
-        top = max(self.v.bytes_of) + 1
-        tokens = [self.v.bytes_of.get(i, b"") for i in range(top)]
-        lengths = np.array([len(t) for t in tokens])
-        pool = np.frombuffer(b"".join(tokens), np.uint8)
+        lengths = np.array(self.v.length, np.int64)
+        pool = np.frombuffer(self.v.pool, np.uint8)
         starts = np.cumsum(lengths) - lengths
 
         def decode(i: np.ndarray) -> bytes:

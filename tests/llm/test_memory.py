@@ -1,5 +1,7 @@
 """What the operators' tasks leave in their Python processes."""
 
+import tracemalloc
+
 import pyarrow as pa
 
 from demandspark.llm import bpe, ngram_join
@@ -60,6 +62,17 @@ def test_a_task_of_the_tokenizer_leaves_no_caches(spark, monkeypatch):
     assert met == [True, True] and len(made) == 1  # the tables stay
 
 
+def test_tables_of_a_vocabulary_are_small():
+    text = bpe.read_vocabulary()
+    tracemalloc.start()
+    try:
+        encoder = bpe.Encoder(bpe.Vocabulary(text))
+        assert tracemalloc.get_traced_memory()[0] < 300 * len(encoder.length)  # bytes a token
+    finally:
+        tracemalloc.stop()
+    assert encoder.cache_chunks <= 100_000
+
+
 def test_groups_of_the_join_still_meet(spark):
     rows = [(i, "a b c d e f g h i j k l m n o p q r s t u v w x y z " + "end" * (i % 2)) for i in range(40)]
     got = ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 80, 3).collect()
