@@ -122,8 +122,9 @@ class Context:
         rows = stage(_train(self, "log", self.panel), "train")
         categories = categories_of(rows)
         encoder = stage(M.fit_encoder(rows, categories), "encoder")
-        # the passes of the fit need the codes, not the texts behind them
-        coded = stage(M.apply_encoder(rows, encoder, categories).drop(*[x for x, kind in rows.dtypes if x in categories and kind == "string"]), "coded")
+        # the passes of the fit need the codes and the keys, not the texts behind them
+        texts = [x for x, kind in rows.dtypes if x in categories and kind == "string" and x not in self.cfg.keys]
+        coded = stage(M.apply_encoder(rows, encoder, categories).drop(*texts), "coded")
         codes = [f"{x}_code" for x in categories]
         features = [*numeric_features(rows, {"total_dose_monthly", "tanni_suryo", "week"}), *codes]
         return M.fit_two_phase(coded, features, "total_dose_monthly", _BOOST, codes), coded, encoder
