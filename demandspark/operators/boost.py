@@ -37,7 +37,8 @@ from demandspark.functions.stage import fresh_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PREDICTION = "predicted_total_dose"
-BLOCK_ROWS = 1 << 16
+#: Rows of a block and of a summary: whole batches of 10,000 rows, or of smaller ones that divide it.
+BLOCK_ROWS = 70_000
 #: Groups of features whose sums are added up together.
 GROUPS = 16
 #: Splits by sets of categories: smoothing of the order, extra regularisation.

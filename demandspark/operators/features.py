@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.config import DemandConfig
@@ -476,6 +476,20 @@ def days_since_last(panel: DataFrame, cfg: DemandConfig, mode: str = "train") ->
 
 
 # -- prescribers ------------------------------------------------------------------------
+def doctor_counts(rx: DataFrame, cfg: DemandConfig, pad: bool = True) -> DataFrame:
+    """Facts ``n`` per (item, location) and prescriber in the training span."""
+    from demandspark.functions.scalar import pad_code
+    from demandspark.sources.files import scan_half_open
+
+    location = pad_code(cfg.location) if pad else F.col(cfg.location)
+    return (
+        scan_half_open(rx, cfg.day, cfg.prescriber_start, cfg.prescriber_end)
+        .withColumn(cfg.location, location)
+        .groupBy(*cfg.pair, "doctor_code")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def doctor_feature(rx: DataFrame, cfg: DemandConfig, pad: bool = True, form: str = "text") -> DataFrame:
     """Prescriber codes per (item, location) in the training span, sorted, repeats kept.
 
@@ -484,17 +498,33 @@ def doctor_feature(rx: DataFrame, cfg: DemandConfig, pad: bool = True, form: str
     ``code*count`` instead of repeating the code, an equally distinguishing but
     bounded text.  ``form="digest"`` gives a category key of constant size: sums of two hashes of
     each (code, count), which depend on the multiset only, so that a pair gathers nothing.
+    ``form="ordered"`` is bounded by the distinct prescribers, too, and sorts as the text does: see ``ordered_word``.
     """
-    from demandspark.functions.scalar import pad_code
-    from demandspark.sources.files import scan_half_open
+    return doctor_texts(doctor_counts(rx, cfg, pad), cfg, form)
 
-    location = pad_code(cfg.location) if pad else F.col(cfg.location)
-    counts = (
-        scan_half_open(rx, cfg.day, cfg.prescriber_start, cfg.prescriber_end)
-        .withColumn(cfg.location, location)
-        .groupBy(*cfg.pair, "doctor_code")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+
+def plain_codes(counts: DataFrame) -> bool:
+    """Whether every prescriber code is one word: without blanks and control characters, and not empty."""
+    odd = F.col("doctor_code").rlike(r"[\x00-\x20]") | (F.col("doctor_code") == "")
+    return not counts.agg(F.max(odd)).first()[0]
+
+
+def ordered_word(code: Column, n: Column, last: Column) -> Column:
+    """``n`` repeats of a plain code, in a form that sorts as the repeats do within their text.
+
+    A larger count sorts later if the text ends with it, and earlier if a (larger) code follows; a
+    text that ends sorts before one that goes on.  Counts are written as a letter for the number of
+    digits, then the digits, both falling instead of rising if a code follows; nothing for a last 1.
+    """
+    digits = n.cast("string")
+    size = F.length(digits)
+    ends = F.concat(code, F.lit(" "), F.char(F.lit(64) + size), digits)
+    goes_on = F.concat(code, F.lit(" "), F.char(F.lit(117) - size), F.translate(digits, "0123456789", "9876543210"))
+    return F.when(last & (n == 1), code).when(last, ends).otherwise(goes_on)
+
+
+def doctor_texts(counts: DataFrame, cfg: DemandConfig, form: str = "text") -> DataFrame:
+    """The forms of ``doctor_feature`` from its counts; ``ordered`` is for plain codes."""
     code = F.col("doctor_code")
     if form == "digest":
         named = counts.where(code.isNotNull())
@@ -503,11 +533,17 @@ def doctor_feature(rx: DataFrame, cfg: DemandConfig, pad: bool = True, form: str
         return counts.select(*cfg.pair).distinct().join(digests, cfg.pair, "left")
     if form == "counted":
         word = F.concat(code, F.lit("*"), F.col("n").cast("string"))
+    elif form == "ordered":
+        word = F.col("n")
     else:
         word = F.rtrim(F.repeat(F.concat(code, F.lit(" ")), F.col("n").cast("int")))
     listed = counts.groupBy(*cfg.pair).agg(
         F.sort_array(F.collect_list(F.when(code.isNotNull(), F.struct(code.alias("code"), word.alias("word"))))).alias("ws")
     )
+    if form == "ordered":
+        n = F.size("ws")
+        words = F.transform("ws", lambda w, i: ordered_word(w["code"], w["word"], i + 1 == n))
+        return listed.select(*cfg.pair, F.when(n > 0, F.array_join(words, "")).alias("doctors"))
     return listed.select(
         *cfg.pair, F.when(F.size("ws") > 0, F.array_join(F.col("ws")["word"], " ")).alias("doctors")
     )

@@ -114,12 +114,19 @@ class Context:
     def doctors(self) -> DataFrame:
         return stage(X.doctor_feature(self.facts, self.cfg), "doctors")
 
+    @cached_property
+    def doctor_keys(self) -> DataFrame:
+        """What the model queries take for the prescriber texts: it does not grow with the facts, and parts and
+        orders the pairs as the texts do.  Only codes that are no plain words need the texts themselves."""
+        counts = stage(X.doctor_counts(self.facts, self.cfg), "doctor-counts")
+        return stage(X.doctor_texts(counts, self.cfg, "ordered" if X.plain_codes(counts) else "text"), "doctor-keys")
+
     @cached_property
     def fit(self) -> tuple[M.Fit, DataFrame, DataFrame]:
         """The log model, its encoded train dataset and its encoder, for all model queries."""
         from demandspark.plans.pipelines import numeric_features
 
-        rows = stage(_train(self, "log", self.panel), "train")
+        rows = stage(D.train_dataset(self.panel, self.calendar, self.doctor_keys, self.cfg, "log"), "train")
         categories = categories_of(rows)
         encoder = stage(M.fit_encoder(rows, categories), "encoder")
         # the passes of the fit need the codes and the keys, not the texts behind them
@@ -289,7 +296,7 @@ def _predict_gbt(c: Context) -> DataFrame:
     path = fresh_path(c.spark, "model")
     M.save_fit(fit, encoder, path)
     encoder, model = M.load_fit(c.spark, path)
-    rows = _predict(c, "log", c.panel)
+    rows = D.predict_dataset(c.panel, c.calendar, c.doctor_keys, c.cfg, "log")
     return B.inverse_log(M.score(model, M.apply_encoder(rows, encoder, categories_of(rows))), c.cfg)
 
 

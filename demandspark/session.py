@@ -16,6 +16,8 @@ SETTINGS = {
     # whole-stage method, which would be too large for the JIT
     "spark.sql.codegen.maxFields": "40",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # rows with hundreds of features: Arrow's buffers are outside the heap, in each task and its worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.session.timeZone": "UTC",
 }
 

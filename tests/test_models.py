@@ -1,5 +1,6 @@
 """The model queries' own tables: what the fit reads and what its queries return."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from demandspark.config import DemandConfig
@@ -18,3 +19,22 @@ def test_train_gbt_scores_every_test_row_under_its_keys(spark, smoke):
     want = D.with_label(c.panel, SHORT).where("split_flag = 'test'").select(*known)
     got = scored.where(F.col(B.PRED).isNotNull()).select(*known)
     assert not want.isEmpty() and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_the_fit_takes_keys_in_the_order_of_the_prescriber_texts(spark, smoke):
+    c = context(spark, smoke, SHORT)
+    both = c.doctors.join(c.doctor_keys.withColumnRenamed("doctors", "key"), SHORT.pair).collect()
+    assert len(both) == c.doctors.count() == c.doctor_keys.count()
+    known = [r for r in both if r.doctors is not None]
+    assert [r.key for r in sorted(known, key=lambda r: r.doctors)] == sorted(r.key for r in known)
+    assert len({r.doctors for r in known}) == len({r.key for r in known}) == len({(r.doctors, r.key) for r in known})
+    _, coded, encoder = c.fit
+    texts = {r.text for r in encoder.where("feature = 'doctors'").collect()}
+    assert texts <= {r.key for r in known} | {"other"} and len(texts) > 1
+    assert "doctors" not in coded.columns and "doctors_code" in coded.columns
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    """Some 380 features a row: Arrow's buffers lie outside the heap."""
+    sizes = spark.range(7000).coalesce(1).mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in it), "n long")
+    assert [r.n for r in sizes.collect()] == [2000, 2000, 2000, 1000]

@@ -1,5 +1,6 @@
 """Hand-computed cases for the semantic traps."""
 
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -262,6 +263,32 @@ def test_prescriber_digest_parts_pairs_as_the_text_does(spark):
     assert max(len(v) for v in forms["digest"].values() if v) < 60
 
 
+def test_ordered_prescribers_sort_and_part_pairs_as_the_text_does(spark):
+    """Counts of one to four digits, codes that begin like others, texts that end early; the size is bounded by the codes."""
+    cfg = DemandConfig(end=day(900))
+    rng = random.Random(5)
+    codes = ["D1", "D10", "D2", "a", "é", "other", "!", "~"]
+    sets = [{}, {"other": 1}, {"other": 2}, {"D1": 999, "D10": 1}, {"D1": 1000}, {"D1": 1000, "D10": 2}, {"D1": 9, "D2": 1}, {"D1": 10, "D2": 1}]
+    sets += [{c: rng.choice([1, 1, 2, 9, 10, 11, 99, 100, 3000]) for c in rng.sample(codes, rng.randint(1, 4))} for _ in range(300)]
+    rows = [(f"y{i % 7}", str(i), d, n) for i, s in enumerate(sets) for d, n in (s.items() or [(None, 3)])]
+    counts = spark.createDataFrame(rows, "yj_code string, store_code string, doctor_code string, n long").repartition(3)
+    forms = {f: {r.store_code: r.doctors for r in X.doctor_texts(counts, cfg, f).collect()} for f in ("text", "ordered")}
+    text, key = ([forms[f][str(i)] for i in range(len(sets))] for f in ("text", "ordered"))
+    assert [t is None for t in text] == [k is None for k in key] == [not s for s in sets]
+    texts, keys = ([v.encode() for v in x if v is not None] for x in (text, key))
+    assert len(set(texts)) > 150 and len(set(texts)) == len(set(zip(texts, keys))) == len(set(keys))
+    assert sorted(range(len(texts)), key=lambda i: texts[i]) == sorted(range(len(keys)), key=lambda i: keys[i])
+    assert [t < b"other" for t in texts] == [k < b"other" for k in keys] and [t == b"other" for t in texts] == [k == b"other" for k in keys]
+    assert max(map(len, texts)) > 10_000 and max(map(len, keys)) < 50
+
+
+@pytest.mark.parametrize("code, plain", [("D1", True), ("é~!", True), (None, True), ("D 1", False), ("D1 ", False), ("D1\n", False), ("", False)])
+def test_codes_of_other_than_one_word_are_not_plain(spark, code, plain):
+    counts = spark.createDataFrame([("a", "1", "D2", 1), ("a", "1", code, 1)], "yj_code string, store_code string, doctor_code string, n long")
+    assert X.plain_codes(counts) == plain
+    assert X.plain_codes(counts.where("false"))
+
+
 def test_spells_are_events_and_expand_to_the_days_asked_for(spark):
     cfg = DemandConfig(end=day(500), train_days=60, windows=(30,), tail_days=60)
     d0 = cfg.panel_start
