@@ -179,6 +179,17 @@ def _pair_rows(panel: DataFrame, calendar: DataFrame, cfg: DemandConfig, label:
     return train_sample(with_label(rows, cfg, label), cfg, label)
 
 
+def _if_small(series: DataFrame, panel: DataFrame, cfg: DemandConfig, keys: list[str], columns: int) -> DataFrame:
+    """``series``, broadcast if its counted rows stay below Spark's limit: the estimate for so many windows is far
+    above their size, and rows that meet it by broadcast stay partitioned by pair."""
+    spark = panel.sparkSession
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    # a value and its null bit, keys and the row's own bytes
+    rows = max(0, limit) // (9 * columns + 128)
+    days = X.feature_days(panel, cfg).select(*keys).distinct()
+    return F.broadcast(series) if rows and days.count() <= rows else series
+
+
 def train_dataset(
     panel: DataFrame,
     calendar: DataFrame,
@@ -194,8 +205,10 @@ def train_dataset(
     """
     spec = LABELS[label]
     rows = _pair_rows(panel, calendar, cfg, label)
-    rows = rows.join(_item_frame(panel, calendar, cfg, spec.variant), [cfg.item, cfg.day], "left")
-    rows = null_safe(rows, _name_frame(panel, calendar, cfg, spec.variant), ["general_name", cfg.location, cfg.day])
+    by_item, by_name = [cfg.item, cfg.day], ["general_name", cfg.location, cfg.day]
+    items = _if_small(_item_frame(panel, calendar, cfg, spec.variant), panel, cfg, by_item, len(_item_columns(cfg)))
+    names = _if_small(_name_frame(panel, calendar, cfg, spec.variant), panel, cfg, by_name, len(_name_columns(cfg)))
+    rows = null_safe(rows.join(items, by_item, "left"), names, by_name)
     gone = {*UNAVAILABLE, *(SCALED_TARGETS if spec.variant == X.SCALED else ())}
     own = [c for c in rows.columns if c not in {"__item", "__name", *gone}]
     rows = rows.selectExpr(
