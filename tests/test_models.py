@@ -4,9 +4,11 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from demandspark.config import DemandConfig
+from demandspark.functions.stage import stage
 from demandspark.operators import dataset as D
+from demandspark.operators import model as M
 from demandspark.operators import publish as B
-from demandspark.plans.queries import END, context, operator
+from demandspark.plans.queries import END, categories_of, context, operator
 
 SHORT = DemandConfig(end=END, train_days=60, windows=(60, 30), lags=(1, 7, 28), max_last_days=60)
 
@@ -34,6 +36,15 @@ def test_the_fit_takes_keys_in_the_order_of_the_prescriber_texts(spark, smoke):
     assert "doctors" not in coded.columns and "doctors_code" in coded.columns
 
 
+def test_the_fit_reads_the_codes_that_the_texts_would_give(spark, smoke):
+    c = context(spark, smoke, SHORT)
+    rows = stage(D.train_dataset(c.panel, c.calendar, c.doctors, SHORT, "log"), "train")
+    coded, _ = c.fit[1:]
+    by_text = M.apply_encoder(rows, M.fit_encoder(rows, categories_of(rows)), categories_of(rows))
+    want, got = (sorted(r.h for r in x.select(F.xxhash64(*[F.col(f"`{k}`") for k in coded.columns]).alias("h")).collect()) for x in (by_text, coded))
+    assert want == got and len(got) > 1000
+
+
 def test_rows_go_to_python_in_small_batches(spark):
     """Some 380 features a row: Arrow's buffers lie outside the heap."""
     sizes = spark.range(7000).coalesce(1).mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in it), "n long")
